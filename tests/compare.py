@@ -1,0 +1,88 @@
+"""Run queries on Spark and their SQL on DuckDB and compare every cell.
+
+Usage: python tests/compare.py [folder] [query ...]
+"""
+
+from __future__ import annotations
+
+import glob
+import os
+import sys
+import time
+
+import duckdb
+import pandas as pd
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{folder}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def canonical(pdf: pd.DataFrame) -> pd.DataFrame:
+    out = pdf[sorted(pdf.columns)].map(lambda v: "NULL" if pd.isna(v) else _text(v))
+    return out.sort_values(list(out.columns)).reset_index(drop=True)
+
+
+def _text(v) -> str:
+    if isinstance(v, float):
+        return repr(v)
+    return str(v)
+
+
+def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
+    if sorted(got.columns) != sorted(want.columns):
+        return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
+    if len(got) != len(want):
+        return f"rows {len(got)} != {len(want)}"
+    a, b = canonical(_aligned(got, want)), canonical(want)
+    bad = (a != b).any(axis=1)
+    if bad.any():
+        i = bad.idxmax()
+        cols = [c for c in a.columns if a.loc[i, c] != b.loc[i, c]]
+        return f"{int(bad.sum())} rows differ, first: " + str([(c, a.loc[i, c], b.loc[i, c]) for c in cols[:4]])
+    return None
+
+
+def _aligned(got: pd.DataFrame, want: pd.DataFrame) -> pd.DataFrame:
+    """Integer columns that pandas widened because of NULLs on one side only."""
+    for c in got.columns:
+        if got[c].dtype != want[c].dtype and got[c].dtype.kind in "if" and want[c].dtype.kind in "if":
+            got = got.assign(**{c: got[c].astype(want[c].dtype)})
+    return got
+
+
+def main() -> int:
+    from conftest import make_session
+
+    from __spark_entry__ import oracle_sql, queries
+
+    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    wanted = sys.argv[2:]
+    spark = make_session()
+    con = connect(folder)
+    sql = oracle_sql()
+    failed = 0
+    for name, fn in queries().items():
+        if wanted and name not in wanted:
+            continue
+        start = time.time()
+        try:
+            got = fn(spark, folder).toPandas()
+            took = time.time() - start
+            note = "rows only" if name not in sql else difference(got, con.execute(sql[name]).df()) or "ok"
+        except Exception as error:
+            took, note, got = time.time() - start, "ERROR " + str(error)[:600], []
+        failed += note not in ("ok", "rows only")
+        print(f"{name:32s} {took:6.1f}s {len(got):8d} {note}", flush=True)
+    print("failed:", failed)
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(main())
