@@ -26,7 +26,8 @@ def _wide_stats(df: DataFrame, names: list[str]) -> DataFrame:
 def scale_columns(df: DataFrame, names: list[str], fitted_on: DataFrame | None = None) -> DataFrame:
     """Standardise columns in place; a constant column becomes 0.0.
 
-    The statistics come from the training rows of ``fitted_on`` (``df`` itself by default).
+    The statistics come from the training rows of ``fitted_on`` (``df`` itself by default),
+    in a pass of their own: stage a computed frame first.
     """
     stats = one_row(_wide_stats(fitted_on if fitted_on is not None else df, names))
     held = df.withColumn("_stats", stats)

@@ -25,7 +25,7 @@ from barloom.plans import inference, ingest, training
 from barloom.plans.panels import PANELS, layout_of, load, raw_text
 from barloom.sources import models, tables
 from barloom.sources.csv_panel import read_panel
-from barloom.sources.staging import stage, work_path
+from barloom.sources.staging import settle, stage, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,11 +70,13 @@ def bars(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFr
 
 
 def valid(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFrame:
-    return quality.validate(bars(spark, folder, panel), layout_of(spark, folder, panel))
+    layout = layout_of(spark, folder, panel)
+    return quality.validate(settle(bars(spark, folder, panel), layout), layout)
 
 
 def featured(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFrame:
-    return feat.add_features(valid(spark, folder, panel), ALL, layout_of(spark, folder, panel))
+    layout = layout_of(spark, folder, panel)
+    return feat.add_features(settle(valid(spark, folder, panel), layout), ALL, layout)
 
 
 def cleaned(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFrame:
@@ -82,7 +84,8 @@ def cleaned(spark: SparkSession, folder: str, panel: str = "panel_daily") -> Dat
 
 
 def parted(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFrame:
-    return split.time_split(cleaned(spark, folder, panel), 0.85, layout_of(spark, folder, panel))
+    layout = layout_of(spark, folder, panel)
+    return split.time_split(settle(cleaned(spark, folder, panel), layout), 0.85, layout)
 
 
 def scored(spark: SparkSession, folder: str, panel: str = "panel_daily", part: str = split.TEST) -> DataFrame:
@@ -92,7 +95,8 @@ def scored(spark: SparkSession, folder: str, panel: str = "panel_daily", part: s
 
 
 def errors(spark: SparkSession, folder: str) -> DataFrame:
-    return diag.residuals(scored(spark, folder))
+    """Residuals on staged test rows, for tables that read them more than once."""
+    return diag.residuals(stage(scored(spark, folder)))
 
 
 # Casts, validation, summary
@@ -349,7 +353,8 @@ def scale_train_stats(spark, folder):
 @query
 def scaled_features(spark, folder):
     names = feat.model_features()
-    return rounded(scaling.scale_columns(parted(spark, folder), names).select(*KEY, "split", *names))
+    rows = stage(parted(spark, folder).select(*KEY, "split", *names))
+    return rounded(scaling.scale_columns(rows, names))
 
 
 @query
@@ -409,7 +414,8 @@ def metrics_per_symbol(spark, folder):
 
 @query
 def residuals(spark, folder):
-    return rounded(errors(spark, folder).select(*KEY, "target", "prediction", "residual", "abs_error"))
+    rows = diag.residuals(scored(spark, folder))
+    return rounded(rows.select(*KEY, "target", "prediction", "residual", "abs_error"))
 
 
 @query
@@ -439,7 +445,7 @@ def hist_abs_error(spark, folder):
 
 @query
 def normal_overlay(spark, folder):
-    return rounded(diag.normal_overlay(errors(spark, folder)))
+    return rounded(diag.normal_overlay(diag.residuals(scored(spark, folder))))
 
 
 @query
@@ -465,7 +471,7 @@ def sampled_fit(spark, folder):
 
 @query
 def per_symbol_ratio(spark, folder):
-    table = metrics.entity_metrics(scored(spark, folder))
+    table = metrics.entity_metrics(stage(scored(spark, folder)))
     return rounded(metrics.relative_to_best(table, ["mae", "mse", "r2"]))
 
 
@@ -473,7 +479,7 @@ def per_symbol_ratio(spark, folder):
 def model_comparison_pivot(spark, folder):
     """Three moving-average predictors compared as models."""
     names = ["close_vs_ma5", "close_vs_ma10", "close_vs_ma20"]
-    rows = split.part(parted(spark, folder), split.TEST).select("target", *names)
+    rows = stage(split.part(parted(spark, folder), split.TEST).select("target", *names))
     long = rows.unpivot(["target"], names, "model", "prediction")
     return rounded(metrics.compare_models(metrics.metric_rows(metrics.metrics(long, ["model"]), ["model"])))
 
@@ -700,7 +706,8 @@ def random_search(spark, folder):
 def inference_run(spark, folder):
     """Train, store and register a model, then predict the newest bar of every symbol with it."""
     home = work_path(spark, "home")
-    panel = valid(spark, folder)
+    tables.write_panel(valid(spark, folder), f"{home}/panel")
+    panel = tables.read_table(spark, f"{home}/panel")
     training.train(panel, SMALL, home, run_id="run1", stage_name="Production")
     done = inference.run_inference(spark, panel, home, SMALL, run_id="infer1")
     return done.predictions.drop("timestamp")

@@ -8,6 +8,7 @@ from barloom.functions.layout import measure
 from barloom.operators.quality import validate
 from barloom.schema import KEYS, Keys
 from barloom.sources.csv_panel import FILE_STEM, read_panel
+from barloom.sources.staging import settle
 from barloom.sources.tables import read_table, table_exists, write_panel
 
 
@@ -21,7 +22,8 @@ def ingest(
 ) -> DataFrame:
     """Read, type and validate a folder of CSV files and overwrite the panel table."""
     panel = read_panel(spark, csv_folder, entity_pattern, time_type, keys)
-    write_panel(validate(panel, measure(panel, keys), keys), table, keys)
+    layout = measure(panel, keys)
+    write_panel(validate(settle(panel, layout), layout, keys), table, keys)
     return read_table(spark, table)
 
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barloom.functions.layout import Layout
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
@@ -31,3 +33,12 @@ def stage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def settle(df: DataFrame, layout: Layout | None) -> DataFrame:
+    """Stage a computed frame before the next windows when histories are cut.
+
+    Windows over cut histories read their input more than once. Uncut ones read it once
+    and share one exchange with the step before, so nothing is written then.
+    """
+    return stage(df) if layout is not None and layout.grains else df
