@@ -349,7 +349,7 @@ FROM parted, stats""",
         "corr_lower": f"{_clean(daily)}, {_corr(TOP25, low_pairs, 'clean')} {CORR_ROWS}",
         "corr_pairwise": f"{_features(daily)}, {_corr(few, few_pairs, 'feats')} {CORR_ROWS}",
         "corr_prune": f"""{_clean(daily)}, {_corr(NAMES, all_pairs, "clean")},
-strong AS (SELECT j, list(i) AS partners FROM corr_ WHERE i <> j AND abs(r) > 0.95 GROUP BY j),
+strong AS MATERIALIZED (SELECT j, list(i) AS partners FROM corr_ WHERE i <> j AND abs(r) > 0.95 GROUP BY j),
 walk AS (SELECT 0 AS step, [0] AS kept UNION ALL
   SELECT step + 1, CASE WHEN list_has_any(kept, coalesce(partners, []::INT[])) THEN kept ELSE list_append(kept, step + 1) END
   FROM walk LEFT JOIN strong ON strong.j = step + 1 WHERE step < {len(NAMES) - 1})
