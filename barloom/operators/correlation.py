@@ -14,7 +14,8 @@ def correlation(df: DataFrame, names: list[str]) -> DataFrame:
     """Pearson correlation of every pair of features; expects frames without NULLs.
 
     The rows are reduced to one k x k matrix by tree aggregation. Only that matrix,
-    whose size depends on the number of features alone, reaches the driver.
+    whose size depends on the number of features alone, reaches the driver. Means and
+    products take a pass each: stage a computed frame first.
     """
     vectors = VectorAssembler(inputCols=names, outputCol="_v").transform(df).select("_v")
     matrix = Correlation.corr(vectors, "_v").first()[0].toArray()

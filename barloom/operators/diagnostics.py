@@ -127,7 +127,10 @@ def box_per_entity(
     hot = [name for name, _ in layout.grains] if layout else []
     w = Window.partitionBy(keys.entity)
     label = F.col(keys.entity).cast("string")
-    few = rows.filter(~label.isin(hot)) if hot else rows
+    few = rows
+    if hot:
+        names = rows.sparkSession.createDataFrame([(h,) for h in hot], "_hot string")
+        few = rows.join(F.broadcast(names), label == F.col("_hot"), "left_anti")
     boxed = few.withColumn("_q", F.percentile(value, QUARTILES).over(w))
     boxed = boxed.groupBy(keys.entity).agg(*_box(keys.entity, value))
     if hot:

@@ -88,6 +88,11 @@ def parted(spark: SparkSession, folder: str, panel: str = "panel_daily") -> Data
     return split.time_split(settle(cleaned(spark, folder, panel), layout), 0.85, layout)
 
 
+def complete(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
+    """Staged complete feature rows, for statistics that take more than one pass."""
+    return stage(cleaned(spark, folder).select(names))
+
+
 def scored(spark: SparkSession, folder: str, panel: str = "panel_daily", part: str = split.TEST) -> DataFrame:
     """Test rows with a prediction that is itself a feature, so every diagnostic has an exact answer."""
     rows = split.part(parted(spark, folder, panel), part)
@@ -368,12 +373,14 @@ def scaled_vectors(spark, folder):
 
 @query
 def corr_long(spark, folder):
-    return rounded(corr.correlation(cleaned(spark, folder), feat.feature_names()).drop("i", "j"))
+    names = feat.feature_names()
+    return rounded(corr.correlation(complete(spark, folder, names), names).drop("i", "j"))
 
 
 @query
 def corr_lower(spark, folder):
-    full = corr.correlation(cleaned(spark, folder), feat.model_features())
+    names = feat.model_features()
+    full = corr.correlation(complete(spark, folder, names), names)
     return rounded(corr.lower_triangle(full).drop("i", "j"))
 
 
@@ -385,7 +392,8 @@ def corr_pairwise(spark, folder):
 
 @query
 def corr_prune(spark, folder):
-    return corr.prune_table(corr.correlation(cleaned(spark, folder), feat.feature_names()), 0.95)
+    names = feat.feature_names()
+    return corr.prune_table(corr.correlation(complete(spark, folder, names), names), ALL.correlation_threshold)
 
 
 @query

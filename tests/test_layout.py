@@ -46,7 +46,7 @@ def skewed(spark, request):
     return panel(spark, {"HOT": 700, "WARM": 90, "B": 30, "ONE": 1}, uneven=request.param).cache()
 
 
-@pytest.fixture(scope="module", params=[15, 60, 200])
+@pytest.fixture(scope="module", params=[15, 200])
 def cut(skewed, request):
     return measure(skewed, rows_per_task=request.param)
 
