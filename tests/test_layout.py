@@ -112,7 +112,9 @@ def test_positions(skewed, cut):
         assert r.a == 1 and r.n == r.b == r.s
 
 
-def test_chain_equals_uncut(skewed, cut):
+def test_chain_equals_uncut(skewed):
+    cut = measure(skewed, rows_per_task=60)
+
     def chain(layout):
         kept = quality.validate(skewed, layout)
         return split.time_split(feat.clean_features(feat.add_features(kept, layout=layout)), 0.85, layout)
