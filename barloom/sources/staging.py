@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,13 +13,15 @@ from barloom.functions.layout import Layout
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="barloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.sparkContext.applicationId)
     return folder.rstrip("/")
 
 
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="barloom-")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one run under the shared folder."""
     return f"{shared_folder(spark)}/barloom/{name}-{uuid.uuid4().hex}"
