@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import packing, shards, token_files
+from barloom.llm import packing, quality, secret_scan, shards, token_files, toxicity
 from barloom.sources.staging import work_path
 
 TOKENIZER = os.environ.get("BARLOOM_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
@@ -26,10 +26,18 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(_documents(spark, folder))
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digests(packing.pack(_documents(spark, folder), _tokenizer()))
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(_documents(spark, folder)))
+
+
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.assign(_documents(spark, folder), 24).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -43,11 +51,23 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(token_files.read(spark, path))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_compression_bands": op2_compression_bands,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op5_secret_scan": op5_secret_scan,
         "op7_shards": op7_shards,
         "op8_token_files": op8_token_files,
+        "op10_toxicity": op10_toxicity,
     }
 
 

@@ -27,6 +27,7 @@ class Words:
 
     rows: slice
     data: np.ndarray
+    offsets: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
@@ -34,7 +35,11 @@ class Words:
     def hashes(self, seed: int = 0) -> np.ndarray:
         if not len(self.starts):
             return np.empty(0, np.uint64)
-        return mix(_ranges(_table(seed)[self.data], self.starts, self.ends, seed))
+        return self.range_hashes(self.starts, self.ends, seed)
+
+    def range_hashes(self, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+        """Hashes of byte ranges of the slice."""
+        return mix(_ranges(_table(seed)[self.data], starts, ends, seed))
 
 
 def slices(texts: pa.Array) -> Iterator[Words]:
@@ -51,6 +56,10 @@ def slices(texts: pa.Array) -> Iterator[Words]:
         row = last
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
+
+
 def split(data: np.ndarray, offsets: np.ndarray, rows: slice) -> Words:
     inside = ~_SPACE[data]
     start, end = inside.copy(), inside.copy()
@@ -60,7 +69,7 @@ def split(data: np.ndarray, offsets: np.ndarray, rows: slice) -> Words:
     at, to = offsets[:-1][full], offsets[1:][full] - 1
     start[at], end[to] = inside[at], inside[to]
     starts = np.flatnonzero(start)
-    return Words(rows, data, starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets))
+    return Words(rows, data, offsets, starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
