@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import packing, quality, secret_scan, shards, token_files, toxicity
+from barloom.llm import decontaminate, packing, quality, secret_scan, shards, token_files, toxicity
 from barloom.sources.staging import work_path
 
 TOKENIZER = os.environ.get("BARLOOM_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
@@ -51,6 +51,10 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(token_files.read(spark, path))
 
 
+def op9_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.overlaps(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
     scored = toxicity.score(docs, toxicity.fit(docs, labels))
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_secret_scan": op5_secret_scan,
         "op7_shards": op7_shards,
         "op8_token_files": op8_token_files,
+        "op9_spaced_seeds": op9_spaced_seeds,
         "op10_toxicity": op10_toxicity,
     }
 
