@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, packing, quality, secret_scan, shards, token_files, toxicity
+from barloom.llm import decontaminate, packing, quality, secret_scan, shards, token_files, toxicity, urls
 from barloom.sources.staging import work_path
 
 TOKENIZER = os.environ.get("BARLOOM_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
@@ -38,6 +38,10 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(_documents(spark, folder)))
 
 
+def op6_path_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.assign(_documents(spark, folder), 24).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_compression_bands": op2_compression_bands,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op5_secret_scan": op5_secret_scan,
+        "op6_path_templates": op6_path_templates,
         "op7_shards": op7_shards,
         "op8_token_files": op8_token_files,
         "op9_spaced_seeds": op9_spaced_seeds,

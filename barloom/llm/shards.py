@@ -109,10 +109,8 @@ def assign(docs: DataFrame, shards: int, parcels: int = PARCELS) -> DataFrame:
         F.unhex(F.md5(text)).alias("group_key"),
     ).withColumn("parcel", F.pmod(F.xxhash64("group_key"), F.lit(parcels)).cast("int"))
     groups = rows.groupBy("group_key", "parcel").agg(F.sum("size").alias("size"))
-    total = groups.agg(F.sum("size").alias("total"))
-    least = F.broadcast(total.select((F.col("total") / parcels).alias("least")))
-    large_key = F.when(F.col("size") > F.col("least"), F.col("group_key"))
-    named = groups.join(least).withColumn("large_key", large_key)
+    least = groups.agg((F.sum("size") / parcels).alias("least")).scalar()
+    named = groups.withColumn("large_key", F.when(F.col("size") > least, F.col("group_key")))
     items = named.groupBy("parcel", "large_key").agg(F.sum("size").alias("size")).collect()
     items.sort(key=lambda r: (r["parcel"], bytes(r["large_key"] or b"")))
     placed = into_shards([r["size"] for r in items], shards)
