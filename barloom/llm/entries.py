@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, packing, quality, secret_scan, shards, token_files, toxicity, urls
+from barloom.llm import decontaminate, minhash, packing, quality, secret_scan, shards, token_files, toxicity, urls
 from barloom.sources.staging import work_path
 
 TOKENIZER = os.environ.get("BARLOOM_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
@@ -34,6 +34,11 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digests(packing.pack(_documents(spark, folder), _tokenizer()))
 
 
+def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.classes(_documents(spark, folder))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(_documents(spark, folder)))
 
@@ -72,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_compression_bands": op2_compression_bands,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_dart_minhash": op4_dart_minhash,
         "op5_secret_scan": op5_secret_scan,
         "op6_path_templates": op6_path_templates,
         "op7_shards": op7_shards,
