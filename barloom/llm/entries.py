@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, minhash, packing, quality, secret_scan, shards, token_files, toxicity, urls
+from barloom.llm import decontaminate, minhash, packing, quality, secret_scan, shards, substring, token_files, toxicity, urls
 from barloom.sources.staging import work_path
 
 TOKENIZER = os.environ.get("BARLOOM_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
@@ -26,6 +26,11 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_level_doubling(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring.deduplicate(_documents(spark, folder))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_documents(spark, folder))
 
@@ -75,6 +80,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_level_doubling": op1_level_doubling,
         "op2_compression_bands": op2_compression_bands,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_dart_minhash": op4_dart_minhash,
