@@ -18,7 +18,7 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-def _tokenizer() -> str:
+def tokenizer() -> str:
     try:
         import public_tokenizers
     except ImportError:
@@ -36,7 +36,7 @@ def op2_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.digests(packing.pack(_documents(spark, folder), _tokenizer()))
+    return packing.digests(packing.pack(_documents(spark, folder), tokenizer()))
 
 
 def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,7 +61,7 @@ def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "token-files")
-    token_files.write(_documents(spark, folder), path, _tokenizer())
+    token_files.write(_documents(spark, folder), path, tokenizer())
     return token_files.digests(token_files.read(spark, path))
 
 
