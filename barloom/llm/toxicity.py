@@ -10,7 +10,6 @@ documents that the dictionaries were not trained on.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -75,13 +74,16 @@ class Distance:
         return found
 
     def features(self, text: str | None) -> list[float]:
-        """Largest distance, mean of the two largest, windows at or above each step (log), number of windows (log)."""
+        """Largest distance, mean of the two largest, then windows at or above each step: their log, root of share."""
         saved = sorted(map(self.of, (text or "").encode().split()))
         if not saved:
-            return [0.0] * (3 + len(STEPS))
+            return [0.0] * (2 + 2 * len(STEPS))
         values = np.array(saved)
         counts = len(values) - np.searchsorted(values, STEPS)
-        return [float(values[-1]), float(values[-2:].mean()), *np.log1p(counts).tolist(), math.log(len(values))]
+        return [
+            float(values[-1]), float(values[-2:].mean()),
+            *np.log1p(counts).tolist(), *np.sqrt(counts / len(values)).tolist(),
+        ]
 
 
 def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
@@ -187,8 +189,24 @@ def _content(ranked: list[str], most: int) -> bytes:
 
 
 def _calibrate(features: np.ndarray, labels: np.ndarray, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logistic regression with weights of at least 0, so that no further toxic window lowers a score.
+
+    While a weight is negative, the most negative feature leaves the fit.
+    """
     mean, scale = features.mean(0), features.std(0) + 1e-9
-    design = np.c_[np.ones(len(features)), (features - mean) / scale]
+    standard = (features - mean) / scale
+    live = list(range(features.shape[1]))
+    while True:
+        fitted = _logistic(np.c_[np.ones(len(features)), standard[:, live]], labels, ridge)
+        if not live or fitted[1:].min() >= 0:
+            break
+        live.pop(int(np.argmin(fitted[1:])))
+    weights = np.zeros(features.shape[1] + 1)
+    weights[[0, *(i + 1 for i in live)]] = fitted
+    return mean, scale, weights
+
+
+def _logistic(design: np.ndarray, labels: np.ndarray, ridge: float) -> np.ndarray:
     weights = np.zeros(design.shape[1])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ weights, -35, 35)))
@@ -197,7 +215,7 @@ def _calibrate(features: np.ndarray, labels: np.ndarray, ridge: float) -> tuple[
         weights += step
         if np.abs(step).max() < 1e-8:
             break
-    return mean, scale, weights
+    return weights
 
 
 def _sample_features(folds: list[tuple[bytes, bytes]], level: int, batches) -> Iterator[pa.RecordBatch]:

@@ -1,0 +1,69 @@
+"""The pipeline on the smallest tables: each stage against what it must do with its own input."""
+
+import re
+
+import pytest
+
+import corpus_pipeline
+from barloom.llm import minhash, secret_scan, toxicity
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def steps(spark, tmp_path_factory):
+    home = tmp_path_factory.mktemp("steps")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, out[-1], FOLDER).write.parquet(f"{home}/{name}")
+        out.append(spark.read.parquet(f"{home}/{name}"))
+    return out
+
+
+def test_all_but_the_last_keep_the_columns(steps):
+    for frame in steps[1:-1]:
+        assert frame.columns == steps[0].columns and frame.dtypes == steps[0].dtypes
+
+
+def test_toxic_documents_go(spark, steps):
+    model = toxicity.fit(steps[0], spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    low = {r.doc_id for r in toxicity.score(steps[0], model).where("score < 0.5").collect()}
+    assert {r.doc_id for r in steps[1].collect()} == low
+
+
+def test_one_of_each_class_stays(steps):
+    found = {r.doc_id: r.class_id for r in minhash.classes(steps[1]).collect()}
+    assert sorted(r.doc_id for r in steps[2].collect()) == sorted({*found.values()})
+
+
+def test_leaks_go_and_clean_documents_stay(spark, steps):
+    grams = set()
+    for (text,) in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("text").collect():
+        words = text.split()
+        grams |= {tuple(words[i : i + 13]) for i in range(len(words) - 12)}
+    leaked = {
+        r.doc_id
+        for r in steps[2].collect()
+        if any(tuple(w[i : i + 13]) in grams for w in [r.text.split()] for i in range(len(w) - 12))
+    }
+    kept = {r.doc_id for r in steps[3].collect()}
+    assert not kept & leaked and len(kept) >= steps[2].count() - len(leaked) - 1
+
+
+def test_secrets_are_blotted_out(steps):
+    before = {r.doc_id: r for r in steps[3].collect()}
+    for r in steps[4].collect():
+        spans = secret_scan.find(before[r.doc_id].text)
+        assert (r.text == before[r.doc_id].text) == (not spans)
+        assert not re.search("[0-9a-f]{16}", r.text)
+    assert steps[4].count() == len(before)
+
+
+def test_everything_left_is_packed(spark, steps):
+    lengths = {}
+    for r in steps[5].select("doc_id", "length", "sequence_id").collect():
+        lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
+    assert set(lengths) == {r.doc_id for r in steps[4].collect()}
+    run = corpus_pipeline.run(spark, FOLDER).select("doc_id", "piece", "start", "length", "ids")
+    assert sorted(map(tuple, run.collect())) == sorted(map(tuple, steps[5].select(*run.columns).collect()))
