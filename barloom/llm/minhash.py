@@ -8,7 +8,7 @@ cell only until every coordinate has a dart, so a signature costs about one pass
 
 Bands of the signature join documents into buckets. Candidate pairs are checked on their whole shingle sets; classes
 are the connected components of the links. Equal texts are one node from the start, and a bucket is first resolved
-by its least member, so copies are never expanded into pairs.
+by its most typical member, so copies are never expanded into pairs.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from barloom.sources.staging import discard, write_shared
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Rank cells: 1/64, then doubling up to 1, then one unit each.
 EDGES = (0.0, *(2.0**e for e in range(-6, 1)))
-STARS = 2
 
 
 @dataclass(frozen=True)
@@ -40,6 +39,7 @@ class Settings:
     similarity: float = 0.8
     bands: int = 32
     rows: int = 4
+    block: int = 512
 
 
 def content_key(text: Column) -> Column:
@@ -101,52 +101,117 @@ def keep(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def _shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node) of the buckets that several nodes share."""
+    """(bucket, node, degree) of the buckets that several nodes share.
+
+    The degree of a node is the number of members of all its buckets: high for a text that many others resemble.
+    """
     spread = nodes.select("node", F.explode("bands").alias("bucket"))
-    several = spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
-    return spread.join(several, "bucket")
+    several = spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = spread.join(several, "bucket")
+    return shared.join(shared.groupBy("node").agg(F.sum("members").alias("degree")), "node").drop("members")
 
 
 def _link(buckets: DataFrame, columns: DataFrame, settings: Settings) -> DataFrame:
     """Roots (node, root) of all links between nodes of a bucket.
 
-    First stars: every node with the least node of its buckets, then the least node of each component in a bucket
-    with the least of the bucket, as long as that links anything, ``STARS`` times at most. Then every pair of a bucket
-    whose nodes lie in different components, so no link is lost.
+    Stars come first: every node is compared with one node of high degree from its buckets, then in each bucket the
+    best node of every component with the best one of the largest. In what is left, the members of a bucket outside
+    its largest component are compared with all its members, so no link between components is lost.
     """
     spark = buckets.sparkSession
-    least = buckets.groupBy("bucket").agg(F.min("node").alias("a"))
-    first = buckets.join(least, "bucket").where("node > a").groupBy("node").agg(F.min("a").alias("a"))
-    links, links_path = write_shared(_verified(first.select("a", F.col("node").alias("b")), columns, settings), "links")
-    roots, roots_path = write_shared(components(links), "roots")
-    for star in range(STARS + 1):
+    best = F.max(F.struct("degree", (-F.col("node")).alias("minus"))).alias("best")
+    leads = buckets.groupBy("bucket").agg(best)
+    first = buckets.join(leads, "bucket").where("node <> -best.minus").groupBy("node").agg(F.max("best").alias("best"))
+    pairs = first.select("node", (-F.col("best.minus")).alias("other"))
+    roots, roots_path = _joined(None, _verified(_ordered(pairs), columns, settings), "")
+    for last in (False, True):
         placed = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("root", "node")).alias("lead"))
-        mixed = mixed.where("low < high")
-        if star < STARS:
-            heads = placed.groupBy("bucket", "root").agg(F.min("node").alias("node"))
-            pairs = heads.join(mixed, "bucket").where("root <> low").select(F.col("lead.node").alias("x"), F.col("node").alias("y"))
-        else:
-            open_buckets = placed.join(mixed.select("bucket"), "bucket")
-            left = open_buckets.select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"))
-            right = open_buckets.select("bucket", F.col("node").alias("y"), F.col("root").alias("y_root"))
-            pairs = left.join(right, "bucket").where("x_root < y_root").select("x", "y")
-        ordered = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        found, found_path = write_shared(_verified(ordered, columns, settings), "links")
-        if found.isEmpty():
-            discard(spark, found_path)
-            if star < STARS - 1:
-                continue
+        parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), best)
+        home = parts.groupBy("bucket").agg(
+            F.max(F.struct("n", "best", "root")).alias("home"), F.count("*").alias("parts"), F.sum("n").alias("members")
+        )
+        if last:
+            found = _compared(placed, home.where("parts > 1 and members > 2"), columns, settings)
         else:
-            joined = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(found)
-            again, again_path = write_shared(components(joined), "roots")
-            for used in (found_path, roots_path):
-                discard(spark, used)
-            roots, roots_path = again, again_path
-    discard(spark, links_path)
+            mixed = parts.join(home.where("parts > 1"), "bucket").where("root <> home.root")
+            pairs = mixed.select((-F.col("best.minus")).alias("node"), (-F.col("home.best.minus")).alias("other"))
+            found = _verified(_ordered(pairs), columns, settings)
+        roots, roots_path = _joined(roots, found, roots_path)
     return roots
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _joined(roots: DataFrame | None, found: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """Roots after further links."""
+    known = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(found) if roots else found
+    out = write_shared(components(known), "roots")
+    if path:
+        discard(found.sparkSession, path)
+    return out
+
+
+def _compared(placed: DataFrame, home: DataFrame, columns: DataFrame, settings: Settings) -> DataFrame:
+    """Links between components of a bucket: those outside its home component against all members.
+
+    Both sides are dealt in blocks, and a task compares two blocks on an inverted list of shingles. A block of many
+    members reaches as many tasks as there are blocks of outsiders, which are few after the stars. Buckets with equal
+    members are compared once.
+    """
+    same = placed.join(home.select("bucket"), "bucket").groupBy("bucket").agg(
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("n")
+    )
+    once = same.groupBy("sum", "n").agg(F.min("bucket").alias("bucket")).select("bucket")
+    kept = home.join(once, "bucket").select(
+        "bucket", F.col("home.root").alias("home_root"),
+        F.ceil(F.col("members") / settings.block).cast("int").alias("inner_blocks"),
+        F.ceil((F.col("members") - F.col("home.n")) / settings.block).cast("int").alias("outer_blocks"),
+    )
+    rows = placed.join(kept, "bucket")
+    inner = rows.select(
+        "bucket", "node", "root", F.lit(False).alias("outside"),
+        F.pmod(F.xxhash64("node"), "inner_blocks").cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("outer_blocks") - 1)).alias("j"),
+    )
+    outer = rows.where("root <> home_root").select(
+        "bucket", "node", "root", F.lit(True).alias("outside"),
+        F.explode(F.sequence(F.lit(0), F.col("inner_blocks") - 1)).alias("i"),
+        F.pmod(F.xxhash64("node"), "outer_blocks").cast("int").alias("j"),
+    )
+    dealt = inner.unionByName(outer).join(columns.withColumnRenamed("doc_id", "node"), "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        return _compare(settings.similarity, table)
+
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _compare(similarity: float, table: pa.Table) -> pa.Table:
+    """One link from each outsider to each other component that has a member it resembles."""
+    nodes, roots = table.column("node").to_numpy(), table.column("root").to_numpy()
+    outside = table.column("outside").to_numpy(zero_copy_only=False)
+    lists = [x.values.to_numpy() for x in table.column("columns")]
+    inner = np.flatnonzero(~outside)
+    sizes = np.array([len(lists[i]) for i in inner])
+    everything = np.concatenate([lists[i] for i in inner]) if len(inner) else np.empty(0, np.int32)
+    order = np.argsort(everything, kind="stable")
+    shingles, owner = everything[order], np.repeat(np.arange(len(inner)), sizes)[order]
+    found = []
+    for o in np.flatnonzero(outside):
+        low, high = (np.searchsorted(shingles, lists[o], side=side) for side in ("left", "right"))
+        count = high - low
+        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        common = np.bincount(owner[at], minlength=len(inner))
+        alike = common >= similarity * (sizes + len(lists[o]) - common)
+        hits = inner[alike & (roots[inner] != roots[o])]
+        _, one = np.unique(roots[hits], return_index=True)
+        found += [(min(nodes[o], n), max(nodes[o], n)) for n in nodes[hits[one]]]
+    columns = list(zip(*found)) if found else [[], []]
+    return pa.table({"a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
+
+
 def _verified(pairs: DataFrame, columns: DataFrame, settings: Settings) -> DataFrame:
     """Pairs (a, b) whose shingle sets reach the similarity."""
     right = columns.select(F.col("doc_id").alias("b"), F.col("columns").alias("of_b"))
