@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import decontaminate, minhash, packing, quality, secret_scan, shards, substring, token_files, toxicity, urls
+from barloom.llm.oracle import oracle_sql  # noqa: F401
 from barloom.sources.staging import work_path
 
 TOKENIZER = os.environ.get("BARLOOM_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
@@ -91,7 +92,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_spaced_seeds": op9_spaced_seeds,
         "op10_toxicity": op10_toxicity,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

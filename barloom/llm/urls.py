@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.sources.staging import write_shared
+
 # Fixed values: (verdict, rule); a rule is a host and the start of a path.
 RULES = (
     ("allow", "com/"),
@@ -79,13 +81,18 @@ def judge(pages: DataFrame, settings: Settings = Settings(), rules=RULES) -> Dat
         F.count("*").alias("n"), F.count("ruled").alias("labelled"),
         F.count_if(F.col("ruled") == "block").alias("blocked"),
     )
-    verdicts = _templates(_generalised(patterns, settings), settings)
+    verdicts = _templates(_generalised(_written(patterns), settings), settings)
     return ruled.join(verdicts, ["host", "pattern"], "left").select(
         "page_id", "host", "path", "rule", "template", "share",
         F.coalesce("ruled", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"),
     )
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """Patterns are few beside pages, but every level reads them twice: each step is a written table."""
+    return write_shared(df, "url-templates")[0]
+
+
 def _pattern(path: Column, depth: int) -> Column:
     """The path with segments that vary by their form as ``*``, cut to ``depth`` segments, its last slash kept."""
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
@@ -108,7 +115,8 @@ def _generalised(patterns: DataFrame, settings: Settings) -> DataFrame:
         shown = F.when(F.col("varies") & ~F.col("segment").startswith("*"), "*").otherwise(F.col("segment"))
         longer = F.when(F.col("segment").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), shown))
         head = {"head": F.coalesce(shown, F.lit(""))} if level == 1 else {}
-        tree = here.join(marked, ["host", "prefix"], "left").withColumns({"prefix": longer} | head).drop("varies", "segment")
+        longer_tree = here.join(marked, ["host", "prefix"], "left").withColumns({"prefix": longer} | head)
+        tree = _written(longer_tree.drop("varies", "segment"))
     deeper = F.when(F.col("pattern").rlike(r"/[*][*]/?$"), "/**").otherwise("")
     slash = F.when(F.col("pattern").endswith("/"), "/").otherwise("")
     rest = F.substr("prefix", F.length("head") + 2)
@@ -122,7 +130,7 @@ def _templates(tree: DataFrame, settings: Settings) -> DataFrame:
     common = tails.groupBy("host").agg(F.max(F.struct("n", "tail")).alias("top")).select("host", F.col("top.tail").alias("common"))
     counted = tree.join(common, "host").withColumn("n_common", F.when(F.col("tail") == F.col("common"), F.col("n")).otherwise(0))
     branches = counted.groupBy("host", "head").agg(*sums, F.sum("n_common").alias("n_common"))
-    kinds = branches.withColumn("known", F.col("labelled") >= settings.least_labelled)
+    kinds = _written(branches.withColumn("known", F.col("labelled") >= settings.least_labelled))
     largest = kinds.groupBy("host", "known").agg(
         F.max(F.struct("n", "head", "labelled", "blocked", "n_common")).alias("r")
     )
@@ -132,7 +140,7 @@ def _templates(tree: DataFrame, settings: Settings) -> DataFrame:
     merged = kinds.join(largest, ["host", "known"]).select(
         "host", "head", F.when(alike, F.col("r.head")).otherwise(F.col("head")).alias("branch")
     )
-    named = tree.join(merged, ["host", "head"]).drop("n")
+    named = _written(tree.join(merged, ["host", "head"]).drop("n"))
     hosts = tree.groupBy("host").agg(*sums)
     overall = tree.agg((F.sum("blocked") / F.greatest(F.sum("labelled"), F.lit(1))).alias("overall")).scalar()
     smooth = lambda above: (F.col("blocked") + settings.weight * above) / (F.col("labelled") + settings.weight)
