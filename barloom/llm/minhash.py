@@ -66,7 +66,8 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     nodes = full.groupBy("content_key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
     buckets, bucket_path = write_shared(_shared_buckets(nodes), "buckets")
     ids = buckets.select("node").distinct()
-    texts = docs.select("doc_id", "text").join(ids.withColumnRenamed("node", "doc_id"), "doc_id")
+    # Both sides grow with the corpus, so the plan is the same at every size.
+    texts = docs.select("doc_id", "text").join(ids.withColumnRenamed("node", "doc_id").hint("shuffle_merge"), "doc_id")
     columns, column_path = write_shared(
         texts.mapInArrow(partial(_columns, settings), "doc_id long, columns array<int>").dropDuplicates(["doc_id"]), "shingles"
     )
