@@ -23,8 +23,11 @@ GBT_RANGES = {
 }
 
 
+# The defaults of the next three classes, but for the limits, which are off unless set.
 @dataclass(frozen=True)
 class FeatureConfig:
+    """``max_features`` keeps the first names only; 0 keeps all."""
+
     price_lags: tuple[int, ...] = (1, 2, 3, 5)
     volume_lags: tuple[int, ...] = (1,)
     sentiment_lags: tuple[int, ...] = (1, 3)
@@ -32,19 +35,22 @@ class FeatureConfig:
     enable_rsi: bool = True
     enable_volatility: bool = True
     enable_interactions: bool = True
-    max_features: int = 25
+    max_features: int = 0
     correlation_threshold: float = 0.95
 
 
 @dataclass(frozen=True)
 class TuningConfig:
+    """``max_values`` and ``sample_fraction`` shrink a search on request; ``fold_kind`` is ``random`` or ``time``."""
+
     enabled: bool = False
     method: str = "spark_cv"
     n_trials: int = 10
     metric: str = "mae"
     folds: int = 3
-    sample_fraction: float = 0.3
-    max_values: int | None = 3
+    sample_fraction: float = 1.0
+    max_values: int | None = None
+    fold_kind: str = "random"
     parallelism: int = 4
     seed: int = 42
     ranges: dict[str, list[Any]] = field(default_factory=lambda: dict(GBT_RANGES))

@@ -1,19 +1,22 @@
 """Window layout that stays balanced when one entity holds much of the panel.
 
 An ordinary panel runs on ``partitionBy(entity).orderBy(time)``: one exchange, one
-sort. An entity whose history is too long for one task is cut into pieces of time
-instead. Windows then run per (entity, piece), and every piece receives copies of
-the rows just before and after it, as many as the deepest window looks back or
-ahead, so results equal those of the uncut window. The copies are removed again.
-
-``measure`` decides which entities are cut. It reads row counts only and keeps
-at most ``MAX_HOT`` names on the driver.
+sort. An entity whose history is too long for one task is cut into pieces of about
+equal row counts instead, at times that a sketch of its history proposes. Windows then
+run per (entity, piece), and every piece receives copies of the rows just before and
+after it, as many as the deepest window looks back or ahead, so results equal those of
+the uncut window whatever the sketch says. The copies are removed again. Only the rows
+of over-long entities take that way; all others keep the plain window.
+
+``measure`` decides which entities are cut. It keeps at most ``MAX_HOT`` names and as
+many cut times on the driver. A NULL entity is an entity like others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,23 +24,23 @@ from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 from barloom.schema import KEYS, Keys
+from barloom.sources.shared import write_shared
 
 ROWS_PER_TASK = 4_000_000
 MAX_HOT = 100_000
 
 PIECE = "_piece"
 COPY = "_copy"
-_GRAIN = "_grain"
 _RANK = "_rank"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Row total and, for each over-long entity, the length of its pieces in microseconds."""
+    """Row total and, for each over-long entity, the times (microseconds) at which its history is cut."""
 
     rows: int
     rows_per_task: int = ROWS_PER_TASK
-    grains: tuple[tuple[str, int], ...] = ()
+    cuts: tuple[tuple[str | None, tuple[int, ...]], ...] = ()
 
     @property
     def fits_one_task(self) -> bool:
@@ -62,55 +65,46 @@ def measure(
     keys: Keys = KEYS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> Layout:
-    """Count rows per entity and choose piece lengths for entities above ``rows_per_task``.
+    """Count rows per entity and choose cut times for entities above ``rows_per_task``.
 
     One job when nothing is over-long. The limit is raised so that at most ``MAX_HOT``
     entities can exceed it: fewer than total / limit entities can hold more than limit rows.
     """
     base = df.select(F.col(keys.entity).cast("string").alias("entity"), clock(df, keys.time).alias("at"))
-    per_entity = base.groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("at").alias("last")
-    )
+    per_entity = base.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
     total, longest = per_entity.agg(F.sum("n"), F.max("n")).first()
     total = total or 0
     if not total or longest <= rows_per_task:
         return Layout(total, rows_per_task)
     limit = max(rows_per_task, total // MAX_HOT)
-    hot = per_entity.filter(F.col("n") > limit).filter(F.col("entity").isNotNull()).collect()
-    grains = {r.entity: max(1, (r.last - r.first) // (r.n // limit + 1)) for r in hot}
-    return Layout(total, rows_per_task, tuple(sorted(_refine(base, grains, limit).items())))
+    hot = {r.entity: -(-r.n // limit) for r in per_entity.filter(F.col("n") > limit).collect()}
+    return Layout(total, rows_per_task, _cut_times(base, hot))
 
 
-def _refine(base: DataFrame, grains: dict[str, int], limit: int) -> dict[str, int]:
-    """Shorten pieces until none holds more than twice ``limit`` rows or a piece is one microsecond."""
+def _cut_times(base: DataFrame, pieces: dict[str | None, int]) -> tuple[tuple[str | None, tuple[int, ...]], ...]:
+    """Times between pieces of about equal counts, one sketch job for entities of similar piece numbers."""
     spark = base.sparkSession
-    open_ = dict(grains)
-    while open_:
-        table = F.broadcast(spark.createDataFrame(list(open_.items()), "entity string, grain long"))
-        heavy = (
-            base.join(table, "entity")
-            .groupBy("entity", "grain", F.floor(F.col("at") / F.col("grain")).alias("piece"))
-            .count()
-            .groupBy("entity", "grain")
-            .agg(F.max("count").alias("n"))
-            .filter((F.col("n") > 2 * limit) & (F.col("grain") > 1))
-            .collect()
-        )
-        open_ = {r.entity: max(1, r.grain // (r.n // limit + 1)) for r in heavy}
-        grains.update(open_)
-    return grains
-
-
-def _with_piece(df: DataFrame, layout: Layout, keys: Keys) -> DataFrame:
-    table = F.broadcast(
-        df.sparkSession.createDataFrame(list(layout.grains), f"_hot string, {_GRAIN} long")
-    )
-    piece = F.coalesce(F.floor(clock(df, keys.time) / F.col(_GRAIN)), F.lit(0))
-    return (
-        df.join(table, F.col(keys.entity).cast("string") == F.col("_hot"), "left")
-        .drop("_hot")
-        .withColumn(PIECE, piece)
-    )
+    classes: dict[int, list[str | None]] = {}
+    for entity, n in pieces.items():
+        classes.setdefault(1 << (n - 1).bit_length(), []).append(entity)
+    out = []
+    for n, entities in sorted(classes.items()):
+        names = F.broadcast(spark.createDataFrame([(e,) for e in entities], "hot string"))
+        shares = [k / n for k in range(1, n)]
+        sketch = F.percentile_approx("at", shares, max(10_000, 20 * n))
+        rows = base.join(names, F.col("entity").eqNullSafe(F.col("hot"))).groupBy("entity").agg(sketch.alias("cuts"))
+        out += [(r.entity, tuple(sorted({*(r.cuts or [])}))) for r in rows.collect()]
+    return tuple(sorted(out, key=lambda e: (e[0] is not None, e[0] or "")))
+
+
+def _hot_rows(df: DataFrame, layout: Layout, keys: Keys, hot: bool) -> DataFrame:
+    """Rows of the over-long entities with their piece, or all other rows."""
+    table = F.broadcast(df.sparkSession.createDataFrame(list(layout.cuts), "_hot string, _cuts array<long>"))
+    same = F.col(keys.entity).cast("string").eqNullSafe(F.col("_hot"))
+    if not hot:
+        return df.join(table, same, "left_anti")
+    piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c < clock(df, keys.time))), F.lit(0))
+    return df.join(table, same).withColumn(PIECE, piece).drop("_hot", "_cuts")
 
 
 def _pieces(hot: DataFrame, group: list[str]) -> DataFrame:
@@ -124,16 +118,16 @@ def _pieces(hot: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def _copies(df: DataFrame, hot: DataFrame, group: list[str], time: str, depth: int, ahead: bool) -> DataFrame:
+def _copies(df: DataFrame, hot: DataFrame, group: list[str], keys: Keys, depth: int, ahead: bool) -> DataFrame:
     """Rows near a piece border, copied to each later (or earlier) piece whose windows reach them.
 
     Row counts decide who needs a copy, so short and empty pieces are handled exactly.
     At most ``depth`` rows leave a piece, each for at most ``depth`` others.
     """
     w = Window.partitionBy(*group).orderBy(PIECE)
-    order = F.col(time) if ahead else F.col(time).desc()
+    order = [F.col(c) if ahead else F.col(c).desc() for c in keys.order]
     edge = hot.withColumn(
-        _RANK, F.row_number().over(Window.partitionBy(*group, PIECE).orderBy(order))
+        _RANK, F.row_number().over(Window.partitionBy(*group, PIECE).orderBy(*order))
     ).filter(F.col(_RANK) <= depth)
     if ahead:
         near = F.collect_list(F.struct(PIECE, F.col("_through").alias("edge"))).over(w.rowsBetween(-depth, -1))
@@ -145,12 +139,16 @@ def _copies(df: DataFrame, hot: DataFrame, group: list[str], time: str, depth: i
         "_near", lambda t: F.abs(t["edge"] - F.col("_own")) + F.col(_RANK) - 1 < depth
     )
     return (
-        edge.join(targets, [*group, PIECE])
+        edge.join(targets, _same(edge, targets, [*group, PIECE]))
         .withColumn("_to", F.explode(reach))
-        .select(*[c for c in df.columns], F.col("_to")[PIECE].alias(PIECE), F.lit(True).alias(COPY))
+        .select(*[edge[c] for c in df.columns], F.col("_to")[PIECE].alias(PIECE), F.lit(True).alias(COPY))
     )
 
 
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
 def over_history(
     df: DataFrame,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
@@ -166,17 +164,17 @@ def over_history(
     furthest rows any chain of its expressions reads. ``also`` names further grouping columns.
     """
     group = [keys.entity, *also]
-    if layout is None or not layout.grains:
-        return compute(df, Window.partitionBy(*group).orderBy(keys.time))
-    placed = _with_piece(df, layout, keys)
-    hot = placed.filter(F.col(_GRAIN).isNotNull() & F.col(keys.time).isNotNull())
-    parts = placed.select(*df.columns, PIECE, F.lit(False).alias(COPY))
+    if layout is None or not layout.cuts:
+        return compute(df, Window.partitionBy(*group).orderBy(*keys.order))
+    plain = compute(_hot_rows(df, layout, keys, False), Window.partitionBy(*group).orderBy(*keys.order))
+    hot, _ = write_shared(_hot_rows(df, layout, keys, True), "long-histories")
+    parts = hot.select(*df.columns, PIECE, F.lit(False).alias(COPY))
     if back:
-        parts = parts.unionByName(_copies(df, hot, group, keys.time, back, ahead=False))
+        parts = parts.unionByName(_copies(df, hot, group, keys, back, ahead=False))
     if ahead:
-        parts = parts.unionByName(_copies(df, hot, group, keys.time, ahead, ahead=True))
-    done = compute(parts, Window.partitionBy(*group, PIECE).orderBy(keys.time))
-    return done.filter(~F.col(COPY)).drop(PIECE, COPY)
+        parts = parts.unionByName(_copies(df, hot, group, keys, ahead, ahead=True))
+    done = compute(parts, Window.partitionBy(*group, PIECE).orderBy(*keys.order))
+    return plain.unionByName(done.filter(~F.col(COPY)).drop(PIECE, COPY))
 
 
 def with_position(
@@ -187,28 +185,20 @@ def with_position(
     size: str = "_size",
 ) -> DataFrame:
     """Add each row's 1-based position in its entity's history and the history's length."""
-    if layout is None or not layout.grains:
-        w = Window.partitionBy(keys.entity)
-        return df.withColumns(
-            {
-                position: F.row_number().over(w.orderBy(keys.time)),
-                size: F.count(F.lit(1)).over(w),
-            }
-        )
-    placed = _with_piece(df, layout, keys)
-    hot = placed.filter(F.col(_GRAIN).isNotNull())
     w = Window.partitionBy(keys.entity)
+    whole = {position: F.row_number().over(w.orderBy(*keys.order)), size: F.count(F.lit(1)).over(w)}
+    if layout is None or not layout.cuts:
+        return df.withColumns(whole)
+    plain = _hot_rows(df, layout, keys, False).withColumns(whole)
+    hot, _ = write_shared(_hot_rows(df, layout, keys, True), "long-histories")
     pieces = _pieces(hot, [keys.entity]).select(
         keys.entity, PIECE, "_before", F.sum("_in").over(w).alias("_total")
     )
-    local = Window.partitionBy(keys.entity, PIECE)
-    return (
-        placed.join(pieces, [keys.entity, PIECE], "left")
-        .withColumns(
-            {
-                position: F.coalesce("_before", F.lit(0)) + F.row_number().over(local.orderBy(keys.time)),
-                size: F.coalesce("_total", F.count(F.lit(1)).over(local)),
-            }
-        )
-        .select(*df.columns, position, size)
+    local = Window.partitionBy(keys.entity, PIECE).orderBy(*keys.order)
+    ranked = hot.withColumn(_RANK, F.row_number().over(local))
+    placed = ranked.join(pieces, _same(ranked, pieces, [keys.entity, PIECE])).select(
+        *[ranked[c] for c in df.columns],
+        (F.col("_before") + F.col(_RANK)).alias(position),
+        F.col("_total").alias(size),
     )
+    return plain.unionByName(placed)

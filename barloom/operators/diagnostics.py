@@ -124,7 +124,7 @@ def box_per_entity(
     ``exact_quantiles_of`` and a broadcast of those few rows.
     """
     rows = df.select(keys.entity, value).filter(F.col(value).isNotNull())
-    hot = [name for name, _ in layout.grains] if layout else []
+    hot = [name for name, _ in layout.cuts if name is not None] if layout else []
     w = Window.partitionBy(keys.entity)
     label = F.col(keys.entity).cast("string")
     few = rows

@@ -10,9 +10,9 @@ from barloom.operators.split import latest_one
 from barloom.schema import KEYS, Keys
 
 
-def run_stamp() -> Column:
-    """Processing time as ``yyyyMMdd_HHmmss``."""
-    return F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss")
+def run_stamp(at: Column | None = None) -> Column:
+    """A time, by default that of processing, as ``yyyyMMdd_HHmmss``."""
+    return F.date_format(F.current_timestamp() if at is None else at, "yyyyMMdd_HHmmss")
 
 
 def predict_price(df: DataFrame, keys: Keys = KEYS) -> DataFrame:

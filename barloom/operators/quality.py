@@ -55,7 +55,13 @@ def drop_nan(df: DataFrame) -> DataFrame:
 
 
 def drop_invalid_price(df: DataFrame) -> DataFrame:
-    return df.filter((F.col("Close") > 0) & (F.col("Volume") >= 0))
+    """Close above 0 and, where the panel has one, Volume not below 0."""
+    return df.filter(~_invalid(df))
+
+
+def _invalid(df: DataFrame) -> Column:
+    bad = F.col("Close") <= 0
+    return bad | (F.col("Volume") < 0) if "Volume" in df.columns else bad
 
 
 def _any_nan(df: DataFrame) -> Column:
@@ -78,35 +84,43 @@ def drop_outliers(
     return jumped.filter(F.col("_jump").isNull() | (F.col("_jump") <= limit)).drop("_jump")
 
 
-def validate(df: DataFrame, layout: Layout | None = None, keys: Keys = KEYS) -> DataFrame:
+def validate(
+    df: DataFrame, layout: Layout | None = None, keys: Keys = KEYS, limit: float = MAX_CHANGE
+) -> DataFrame:
     """All row rules, then the outlier rule on what is left."""
-    return drop_outliers(drop_invalid_price(drop_nan(drop_null_critical(df))), layout, keys)
+    return drop_outliers(drop_invalid_price(drop_nan(drop_null_critical(df))), layout, keys, limit)
 
 
-def flag_rows(df: DataFrame, layout: Layout | None = None, keys: Keys = KEYS) -> DataFrame:
+def _row_rule(df: DataFrame) -> Column:
+    return F.when(~all_not_null(_critical(df)), "null").when(_any_nan(df), "nan").when(_invalid(df), "invalid")
+
+
+def _outliers(df: DataFrame, layout: Layout | None, keys: Keys, limit: float) -> DataFrame:
+    """Accepted rows with ``rejected_by`` from the outlier rule."""
+    jumped = over_history(df, lambda d, w: d.withColumn("_jump", _jump(w)), back=1, layout=layout, keys=keys)
+    return jumped.withColumn("rejected_by", F.when(F.col("_jump") > limit, "outlier")).drop("_jump")
+
+
+def flag_rows(
+    df: DataFrame, layout: Layout | None = None, keys: Keys = KEYS, limit: float = MAX_CHANGE
+) -> DataFrame:
     """Keep every row and name the first rule it breaks in ``rejected_by`` (NULL: accepted).
 
-    Rows failing a row rule form a window group of their own, so the outlier rule sees
-    the same neighbours as in ``validate``.
+    Only rows that pass the row rules go through the window, as in ``validate``.
     """
-    row_rule = (
-        F.when(~all_not_null(_critical(df)), "null")
-        .when(_any_nan(df), "nan")
-        .when((F.col("Close") <= 0) | (F.col("Volume") < 0), "invalid")
-    )
-    ruled = df.withColumn("_rule", row_rule).withColumn("_ok", F.col("_rule").isNull())
-    jumped = over_history(
-        ruled, lambda d, w: d.withColumn("_jump", _jump(w)), back=1, layout=layout, keys=keys, also=("_ok",)
-    )
-    rule = F.when(F.col("_ok"), F.when(F.col("_jump") > MAX_CHANGE, "outlier")).otherwise(F.col("_rule"))
-    return jumped.withColumn("rejected_by", rule).drop("_rule", "_ok", "_jump")
+    ruled = df.withColumn("rejected_by", _row_rule(df))
+    accepted = ruled.filter(F.col("rejected_by").isNull()).drop("rejected_by")
+    return _outliers(accepted, layout, keys, limit).unionByName(ruled.filter(F.col("rejected_by").isNotNull()))
 
 
-def removed_counts(df: DataFrame, layout: Layout | None = None, keys: Keys = KEYS) -> DataFrame:
-    """Rows in, rows removed by each rule and rows kept, per entity, in one pass."""
+def removed_counts(
+    df: DataFrame, layout: Layout | None = None, keys: Keys = KEYS, limit: float = MAX_CHANGE
+) -> DataFrame:
+    """Rows in, rows removed by each rule and rows kept, per entity; rejected rows are only counted."""
     rejected = F.col("rejected_by")
     return (
-        flag_rows(df, layout, keys)
+        flag_rows(df, layout, keys, limit)
+        .select(keys.entity, "rejected_by")
         .groupBy(keys.entity)
         .agg(
             F.count(F.lit(1)).alias("n_rows"),

@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,10 +28,8 @@ def exact_quantiles(
     n, cuts = rows.agg(F.count(F.lit(1)), _sketch(probabilities, accuracy)).first()
     if not n:
         return None
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    placed = Bucketizer(splits=splits, inputCol="x", outputCol=_INTERVAL).transform(rows)
-    placed = placed.withColumn("entity", F.lit(""))
-    return _select_ranks(placed, {"": n}, probabilities)[""]
+    held = rows.withColumn("entity", F.lit("")).withColumn("cuts", F.array(*[F.lit(c) for c in dict.fromkeys(cuts)]))
+    return _select_ranks(_placed(held), {"": n}, probabilities)[""]
 
 
 def exact_quantiles_of(
@@ -57,12 +54,22 @@ def exact_quantiles_of(
     if not found:
         return {}
     cuts = spark.createDataFrame([(r.entity, r.cuts) for r in found], "entity string, cuts array<double>")
-    placed = rows.join(F.broadcast(cuts), "entity").withColumn(
-        _INTERVAL, F.size(F.filter("cuts", lambda c: c <= F.col("x"))).cast("double")
-    )
+    placed = _placed(rows.join(F.broadcast(cuts), "entity"))
     return _select_ranks(placed, {r.entity: r.n for r in found}, probabilities)
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """Label rows with the number of cuts at or below them, in the order of the built-in: NaN above infinity."""
+    return rows.withColumn(_INTERVAL, F.size(F.filter("cuts", lambda c: c <= F.col("x"))).cast("double")).drop("cuts")
+
+
+def _between(a: float, b: float, weight: float) -> float:
+    """Interpolation as the built-in percentile does it, so that infinities and NaN come out alike."""
+    if weight == 0 or a == b or (math.isnan(a) and math.isnan(b)):
+        return a
+    return (1 - weight) * a + weight * b
+
+
 def _sketch(probabilities: list[float], accuracy: int) -> Column:
     """Values just below and just above each probability, by twice the sketch's rank error."""
     margin = 2 / accuracy
@@ -113,7 +120,7 @@ def _select_ranks(
         for p in probabilities:
             low, high, weight = _ranks(sizes[entity], p)
             a, b = at[entity, low], at[entity, high]
-            values.append(a + (b - a) * weight)
+            values.append(_between(a, b, weight))
         out[entity] = values
     return out
 

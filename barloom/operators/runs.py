@@ -70,6 +70,7 @@ def model_versions(runs: DataFrame) -> DataFrame:
         runs.filter(F.col("kind") == "model")
         .groupBy("run_id", "started_at")
         .agg(
+            F.max(F.when(F.col("key") == "name", F.col("text"))).alias("name"),
             F.max(F.when(F.col("key") == "stage", F.col("text"))).alias("stage"),
             F.max(F.when(F.col("key") == "version", F.col("value"))).alias("version"),
             F.max(F.when(F.col("key") == "path", F.col("text"))).alias("path"),
@@ -77,15 +78,21 @@ def model_versions(runs: DataFrame) -> DataFrame:
     )
 
 
-def select_latest_run(versions: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """The run to use: production stage first, then the highest version, then the latest start.
+def select_latest_run(
+    versions: DataFrame, by: list[str] | None = None, name: str | None = None
+) -> DataFrame:
+    """The run to use: the highest version in production, else the highest without a stage, else the latest start.
 
-    ``by`` picks one per group instead of one overall.
+    So a staged or archived version is used only where nothing else is registered, whatever its number.
+    ``by`` picks one per group instead of one overall, ``name`` looks at one model only.
     """
-    production = F.col("stage").eqNullSafe("Production")
+    if name is not None:
+        versions = versions.filter(F.col("name") == name)
+    stage = F.coalesce("stage", F.lit("None"))
+    place = F.when(stage == "Production", 2).when(stage == "None", 1).otherwise(0)
     order = [
-        production.desc(),
-        F.col("version").desc_nulls_last(),
+        place.desc(),
+        F.when(place > 0, F.col("version")).desc_nulls_last(),
         F.col("started_at").desc(),
         F.col("run_id"),
     ]

@@ -28,16 +28,20 @@ def part(df: DataFrame, label: str) -> DataFrame:
     return df.filter(F.col("split") == label)
 
 
-def latest_n(df: DataFrame, n: int, keys: Keys = KEYS) -> DataFrame:
-    """The newest ``n`` rows of each entity.
+def latest_n(df: DataFrame, n: int, keys: Keys = KEYS, rank: str | None = None) -> DataFrame:
+    """The newest ``n`` rows of each entity, with their rank in a column where ``rank`` names one.
 
     The rank filter becomes a window group limit, so each task ships at most ``n`` rows per entity.
     """
-    newest = Window.partitionBy(keys.entity).orderBy(F.col(keys.time).desc())
-    return df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
+    newest = Window.partitionBy(keys.entity).orderBy(F.col(keys.time).desc(), *keys.tie_order(descending=True))
+    placed = df.withColumn(rank or "_rank", F.row_number().over(newest)).filter(F.col(rank or "_rank") <= n)
+    return placed if rank else placed.drop("_rank")
 
 
 def latest_one(df: DataFrame, keys: Keys = KEYS) -> DataFrame:
-    """The newest row of each entity, as an aggregate with map-side combine."""
-    row = F.max_by(F.struct(*df.columns), keys.time).alias("_row")
+    """The newest row of each entity, as an aggregate with map-side combine.
+
+    A task sorts its rows by entity first, since whole rows do not fit a hash aggregate; it ships one row per entity.
+    """
+    row = F.max_by(F.struct(*df.columns), F.struct(keys.time, *keys.ties)).alias("_row")
     return df.groupBy(keys.entity).agg(row).select("_row.*")

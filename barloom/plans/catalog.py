@@ -7,10 +7,11 @@ supplier, user or event type that holds a large share of the rows is cut into pi
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,11 +26,13 @@ from barloom.plans import inference, ingest, training
 from barloom.plans.panels import PANELS, layout_of, load, raw_text
 from barloom.sources import models, tables
 from barloom.sources.csv_panel import read_panel
-from barloom.sources.staging import settle, stage, work_path
+from barloom.sources.staging import stage, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEY = ["stock_symbol", "Date"]
+MEANS = ["ma_5", "ma_10", "ma_20"]
+TOP25 = FeatureConfig(max_features=25)
 ALL = FeatureConfig()
 DIR_NAME = r"stock_symbol=([^/]+)/"
 
@@ -51,13 +54,13 @@ def catalog() -> dict[str, Query]:
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles in the form two engines agree on: rounded, negative zero as zero.
 
-    Sums differ in the last bit between engines, so rounding borders are shifted off
-    the decimal ties where means of prices can fall exactly.
+    Moving averages of prices get 4 digits: they fall on ties of the sixth, and sums differ in their last bit
+    between engines.
     """
-    off = F.lit(0.137 * 10**-digits)
+    coarse = dict.fromkeys(MEANS, 4)
     return df.select(
         [
-            (F.round(F.col(f.name) + off, digits) + F.lit(0.0)).alias(f.name)
+            (F.round(F.col(f.name), coarse.get(f.name, digits)) + F.lit(0.0)).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name)
             for f in df.schema
@@ -71,12 +74,12 @@ def bars(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFr
 
 def valid(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFrame:
     layout = layout_of(spark, folder, panel)
-    return quality.validate(settle(bars(spark, folder, panel), layout), layout)
+    return quality.validate(bars(spark, folder, panel), layout)
 
 
 def featured(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFrame:
     layout = layout_of(spark, folder, panel)
-    return feat.add_features(settle(valid(spark, folder, panel), layout), ALL, layout)
+    return feat.add_features(valid(spark, folder, panel), ALL, layout)
 
 
 def cleaned(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFrame:
@@ -85,7 +88,7 @@ def cleaned(spark: SparkSession, folder: str, panel: str = "panel_daily") -> Dat
 
 def parted(spark: SparkSession, folder: str, panel: str = "panel_daily") -> DataFrame:
     layout = layout_of(spark, folder, panel)
-    return split.time_split(settle(cleaned(spark, folder, panel), layout), 0.85, layout)
+    return split.time_split(cleaned(spark, folder, panel), 0.85, layout)
 
 
 def complete(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
@@ -316,7 +319,7 @@ def features_clean(spark, folder):
 
 @query
 def features_top25(spark, folder):
-    return rounded(cleaned(spark, folder).select(*KEY, *feat.model_features(), "target"))
+    return rounded(cleaned(spark, folder).select(*KEY, *feat.model_features(TOP25), "target"))
 
 
 # Split, newest rows
@@ -538,7 +541,7 @@ def _versions(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("run_id"),
         F.col("o_orderdate").alias("started_at"),
-        F.col("o_orderpriority").alias("model"),
+        F.col("o_orderpriority").alias("name"),
         stage_of.alias("stage"),
         F.col("o_custkey").cast("double").alias("version"),
     )
@@ -551,7 +554,7 @@ def select_latest_run(spark, folder):
 
 @query
 def select_latest_per_model(spark, folder):
-    return runs.select_latest_run(_versions(spark, folder), by=["model"])
+    return runs.select_latest_run(_versions(spark, folder), by=["name"])
 
 
 @query
@@ -578,14 +581,17 @@ def _as_csv(spark: SparkSession, folder: str, panel: str) -> str:
     path = work_path(spark, "csv")
     text = bars(spark, folder, panel).withColumnRenamed("Adj_Close", "Adj close")
     ready = text.repartitionByRange("stock_symbol", "Date")
-    ready.write.partitionBy("stock_symbol").option("header", True).csv(path)
+    ready.write.mode("overwrite").partitionBy("stock_symbol").option("header", True).csv(path)
     return path
 
 
 @query
 def csv_roundtrip(spark, folder):
-    path = _as_csv(spark, folder, "panel_daily")
-    return rounded(read_panel(spark, path, DIR_NAME, "timestamp_ntz"))
+    """Many entities: a bounded number of files with the entity as a column."""
+    path = work_path(spark, "csv")
+    text = bars(spark, folder).withColumnRenamed("Adj_Close", "Adj close")
+    text.write.mode("overwrite").option("header", True).csv(path)
+    return rounded(read_panel(spark, path, None, "timestamp_ntz"))
 
 
 @query
@@ -620,16 +626,34 @@ def table_append(spark, folder):
 
 @query
 def predictions_export(spark, folder):
-    """Test predictions exported as CSV and read back."""
+    """The three result tables of a run exported as CSV and read back, in one long table."""
     rows = stage(scored(spark, folder))
     per_entity = metrics.entity_metrics(rows)
-    top = per_entity.select(F.col("stock_symbol").alias("feature"), F.col("mae").alias("importance"))
+    fitted, data = _fitted(spark, folder)
+    top = model.importance(fitted, data.names, data.frame)
     paths = tables.export_run(work_path(spark, "results"), "a", top, per_entity, rows)
-    schema = "stock_symbol string, date timestamp_ntz, true_value double, predicted_value double"
-    return rounded(spark.read.schema(schema).option("header", True).csv(paths["test_predictions"]))
 
+    def again(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).option("header", True).csv(paths[name])
 
-# Models. Small trees keep these short; they run over the whole panel all the same.
+    predictions = again(
+        "test_predictions", "stock_symbol string, date timestamp_ntz, true_value double, predicted_value double"
+    )
+    by_entity = again("per_entity_metrics", "stock_symbol string, mae double, mse double, r2 double, sample_count long")
+    features = again("feature_importance", "rank int, feature string, importance double")
+    nothing = F.lit(None).cast("timestamp_ntz").alias("date")
+    return rounded(
+        predictions.select(F.lit("prediction").alias("part"), F.col("stock_symbol").alias("name"), "date",
+                           F.col("true_value").alias("x"), F.col("predicted_value").alias("y"))
+        .unionByName(by_entity.select(F.lit("entity").alias("part"), F.col("stock_symbol").alias("name"), nothing,
+                                      F.col("mae").alias("x"), F.col("r2").alias("y")))
+        .unionByName(features.select(F.lit("feature").alias("part"), F.col("feature").alias("name"), nothing,
+                                     F.col("importance").between(0, 1).cast("double").alias("x"), F.lit(None).cast("double").alias("y")))
+    )
+
+
+# Models. Few small trees keep these short; they run over the whole panel and all features all the same. Scores of a
+# fit have no SQL: each query returns what SQL can say about its result, and tests check the scores.
 
 SMALL_GBT = {
     "maxIter": 5,
@@ -653,24 +677,44 @@ def _fitted(spark: SparkSession, folder: str):
     return model.fit_gbt(model.fixed_layout(data.train), SMALL_GBT), data
 
 
+def _importances(fitted, data: training.TrainingSet) -> DataFrame:
+    """Feature names with whether each weight is a share, and whether the shares sum to one."""
+    table = model.importance(fitted, data.names, data.frame)
+    total = F.sum("importance").over(Window.partitionBy())
+    return table.select(
+        "feature", F.col("importance").between(0, 1).alias("valid"), (F.abs(total - 1) < 1e-9).alias("sums_to_one")
+    )
+
+
+def _candidates(result: model.SearchResult, df: DataFrame) -> DataFrame:
+    """Candidates with whether each was scored, and the number of winners."""
+    best = F.sum(F.col("best").cast("long")).over(Window.partitionBy())
+    return result.table(df).select("params", F.col("score").isNotNull().alias("scored"), best.alias("n_best"))
+
+
 @query
 def gbt_fit_score(spark, folder):
+    """Rows and spread of the target by split, and whether the fit beats the mean on the rows it saw."""
     fitted, data = _fitted(spark, folder)
-    return rounded(metrics.metrics(model.score(fitted, data.frame), ["split"]))
+    scored_rows = model.score(fitted, data.frame)
+    error = F.avg((F.col("target") - F.col("prediction")) ** 2)
+    table = scored_rows.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.var_pop("target").alias("spread"), error.alias("_mse")
+    )
+    beats = F.when(F.col("split") == split.TRAIN, F.col("_mse") < F.col("spread"))
+    return rounded(table.select("split", "n", "spread", beats.alias("beats_mean")))
 
 
 @query
 def gbt_importance(spark, folder):
-    fitted, data = _fitted(spark, folder)
-    return model.importance(fitted, data.names, data.frame, top=20)
+    return _importances(*_fitted(spark, folder))
 
 
 @query
 def gbt_pruned_features(spark, folder):
     """Importance over features chosen by correlation instead of by order."""
     data = _training_set(spark, folder, select="corr")
-    fitted = model.fit_gbt(model.fixed_layout(data.train), SMALL_GBT)
-    return model.importance(fitted, data.names, data.frame)
+    return _importances(model.fit_gbt(model.fixed_layout(data.train), SMALL_GBT), data)
 
 
 @query
@@ -690,24 +734,23 @@ def gbt_reload(spark, folder):
 @query
 def cv_grid(spark, folder):
     data = _training_set(spark, folder)
-    cfg = TuningConfig(ranges=SMALL_RANGES, folds=3, max_values=2)
-    return model.grid_search(model.fixed_layout(data.train), cfg).table(data.frame)
+    cfg = TuningConfig(ranges=SMALL_RANGES, folds=3)
+    return _candidates(model.tune(model.fixed_layout(data.train), cfg, data.layout), data.frame)
 
 
 @query
 def cv_time_folds(spark, folder):
-    """The same grid, with consecutive time blocks as folds."""
+    """The same grid, each block of time judged by a fit on the blocks before it."""
     data = _training_set(spark, folder)
-    cfg = TuningConfig(ranges=SMALL_RANGES, folds=2, max_values=1)
-    folded = model.time_folds(data.train, cfg.folds, data.layout)
-    return model.grid_search(model.fixed_layout(folded), cfg, "fold").table(data.frame)
+    cfg = TuningConfig(ranges=SMALL_RANGES, folds=2, fold_kind="time")
+    return _candidates(model.tune(data.train, cfg, data.layout), data.frame)
 
 
 @query
 def random_search(spark, folder):
     data = _training_set(spark, folder)
-    cfg = TuningConfig(method="random", ranges=SMALL_RANGES, n_trials=4)
-    return model.tune(data.train, cfg, data.layout).table(data.frame)
+    cfg = TuningConfig(method="random", ranges=SMALL_RANGES, n_trials=8)
+    return _candidates(model.tune(data.train, cfg, data.layout), data.frame)
 
 
 @query
@@ -718,4 +761,44 @@ def inference_run(spark, folder):
     panel = tables.read_table(spark, f"{home}/panel")
     training.train(panel, SMALL, home, run_id="run1", stage_name="Production")
     done = inference.run_inference(spark, panel, home, SMALL, run_id="infer1")
-    return done.predictions.drop("timestamp")
+    return _priced(done)
+
+
+def _priced(done: inference.InferenceRun) -> DataFrame:
+    gap = F.abs(F.col("predicted_price") - F.col("current_price") * (1 + F.col("predicted_return")))
+    return rounded(done.predictions.select("stock_symbol", "current_date", "current_price", (gap < 1e-6).alias("consistent")))
+
+
+@query
+def inference_named(spark, folder):
+    """Two models and their stages in one registry: each name gets its own production model, whatever is newer."""
+    home = work_path(spark, "home")
+    tables.write_panel(valid(spark, folder, "panel_hourly"), f"{home}/panel")
+    panel = tables.read_table(spark, f"{home}/panel")
+    for run_id, name, stage_name in (
+        ("a1", "a", "Production"), ("a2", "a", "Archived"), ("b1", "b", None), ("b2", "b", "Staging"),
+    ):
+        training.train(panel, replace(SMALL, model_name=name), home, run_id=run_id, stage_name=stage_name)
+    found = runs.model_versions(tables.read_table(spark, f"{home}/runs"))
+    return runs.select_latest_run(found, by=["name"]).select("name", "run_id", "version", F.coalesce("stage", F.lit("None")).alias("stage"))
+
+
+@query
+def run_log_model(spark, folder):
+    """Parameters, importance and model rows of a training run, as its log keeps them."""
+    home = work_path(spark, "home")
+    training.train(valid(spark, folder, "panel_hourly"), SMALL, home, run_id="r1", stage_name="Production")
+    log = tables.read_table(spark, f"{home}/runs")
+    counted = log.select(
+        "kind",
+        F.when(F.col("key").startswith("importance_"), "importance").otherwise(F.col("key")).alias("key"),
+        F.when(~F.col("key").isin("path", "feature_names"), F.col("text")).alias("text"),
+        F.when(F.col("kind").isin("param", "model"), F.col("value")).alias("value"),
+    ).where("kind <> 'metric' or key = 'importance'")
+    return rounded(counted.groupBy("kind", "key", "text", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query
+def validate_without_volume(spark, folder):
+    """A panel that has no Volume column is validated by its other rules."""
+    return rounded(quality.validate(bars(spark, folder, "panel_edge").drop("Volume")).select(*KEY, "Close"))

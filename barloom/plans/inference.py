@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.config import PipelineConfig
-from barloom.operators.features import add_features, clean_features, model_features
-from barloom.operators.forecast import latest_predictions, prediction_summary, with_direction
+from barloom.operators.features import add_features, clean_features, lookback, model_features
+from barloom.operators.forecast import predict_price, prediction_summary, with_direction
 from barloom.operators.model import score
 from barloom.operators.runs import model_versions, select_latest_run
 from barloom.operators.scaling import assemble
-from barloom.operators.split import latest_n
+from barloom.operators.split import latest_n, latest_one
 from barloom.schema import KEYS, PREDICTIONS, Keys
 from barloom.sources.models import load_gbt, load_scaler
 from barloom.sources.tables import export_csv, read_table, write_append
@@ -24,14 +24,16 @@ from barloom.sources.tables import export_csv, read_table, write_append
 def inference_rows(
     panel: DataFrame, cfg: PipelineConfig | None = None, require_target: bool = False, keys: Keys = KEYS
 ) -> DataFrame:
-    """Complete feature rows computed from the newest ``sequence_length`` bars of each entity.
+    """Complete feature rows of the newest ``sequence_length`` bars of each entity.
 
-    The newest bar has no target yet and is kept; ``require_target=True`` drops it.
-    Histories are at most ``sequence_length`` rows here, so no piece layout is needed.
+    Features are computed with as many earlier bars as their windows reach back, so none is cut short. The newest
+    bar has no target yet and is kept; ``require_target=True`` drops it. Histories are short here, so no piece
+    layout is needed.
     """
     cfg = cfg or PipelineConfig()
-    recent = latest_n(panel, cfg.sequence_length, keys)
-    return clean_features(add_features(recent, cfg.features, keys=keys), cfg.features, require_target)
+    recent = latest_n(panel, cfg.sequence_length + lookback(cfg.features), keys, rank="_age")
+    built = add_features(recent, cfg.features, keys=keys).filter(F.col("_age") <= cfg.sequence_length).drop("_age")
+    return clean_features(built, cfg.features, require_target)
 
 
 def inference_set(
@@ -66,15 +68,17 @@ def run_inference(
     started = datetime.now()
     run_id = run_id or started.strftime("%Y%m%d_%H%M%S")
     runs = read_table(spark, f"{folder}/runs")
-    chosen = select_latest_run(model_versions(runs)).first()
+    name = (cfg or PipelineConfig()).model_name
+    chosen = select_latest_run(model_versions(runs), name=name).first()
     if chosen is None:
-        raise FileNotFoundError(f"no model is registered in {folder}/runs")
+        raise FileNotFoundError(f"no model {name} is registered in {folder}/runs")
     model = load_gbt(chosen.path)
     scaler = load_scaler(f"{folder}/feature_scaler/{chosen.run_id}")
     names_row = runs.filter((F.col("run_id") == chosen.run_id) & (F.col("key") == "feature_names")).first()
-    rows = inference_set(panel, scaler, names_row.text.split(","), cfg, require_target, keys)
-    scored = score(model, rows.select(*keys.pair, "Close", "features"))
-    fresh = latest_predictions(scored, keys).withColumn("timestamp", F.lit(started).cast("timestamp"))
+    names = names_row.text.split(",")
+    newest = latest_one(inference_rows(panel, cfg, require_target, keys).select(*keys.pair, "Close", *names), keys)
+    scored = score(model, scaler.transform(assemble(newest, names)).select(*keys.pair, "Close", "features"))
+    fresh = predict_price(scored, keys).withColumn("timestamp", F.lit(started).cast("timestamp"))
     stored = fresh.withColumns(
         {f.name: F.col(f.name).cast(f.dataType) for f in PREDICTIONS if f.name in fresh.columns}
     )

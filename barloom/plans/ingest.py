@@ -8,7 +8,7 @@ from barloom.functions.layout import measure
 from barloom.operators.quality import validate
 from barloom.schema import KEYS, Keys
 from barloom.sources.csv_panel import FILE_STEM, read_panel
-from barloom.sources.staging import settle
+from barloom.sources.staging import discard, write_shared
 from barloom.sources.tables import read_table, table_exists, write_panel
 
 
@@ -16,14 +16,18 @@ def ingest(
     spark: SparkSession,
     csv_folder: str,
     table: str,
-    entity_pattern: str = FILE_STEM,
+    entity_pattern: str | None = FILE_STEM,
     time_type: str = "timestamp",
     keys: Keys = KEYS,
 ) -> DataFrame:
-    """Read, type and validate a folder of CSV files and overwrite the panel table."""
-    panel = read_panel(spark, csv_folder, entity_pattern, time_type, keys)
+    """Read, type and validate a folder of CSV files and overwrite the panel table.
+
+    The text is parsed once: typed rows are staged, measured and validated from there.
+    """
+    panel, staged = write_shared(read_panel(spark, csv_folder, entity_pattern, time_type, keys), "typed")
     layout = measure(panel, keys)
-    write_panel(validate(settle(panel, layout), layout, keys), table, keys)
+    write_panel(validate(panel, layout, keys), table, keys)
+    discard(spark, staged)
     return read_table(spark, table)
 
 

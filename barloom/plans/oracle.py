@@ -114,21 +114,32 @@ feats AS (SELECT *, avg_gain_14 / (avg_loss_14 + 0.001::DOUBLE) AS momentum_rati
 
 
 # Feature names in their documented order, by group.
-PRICE = """close_lag_1 close_lag_2 close_lag_3 close_lag_5 price_change_1d price_change_3d price_change_5d
- ma_5 close_vs_ma5 ma_10 close_vs_ma10 ma_20 close_vs_ma20 high_low_spread
- close_normalized_vs_lag1 close_normalized_vs_lag5""".split()
-VOLUME = """volume_lag_1 volume_ma_5 volume_ma_20 volume_change_1d volume_vs_ma5 volume_vs_ma20
- volume_normalized_vs_lag1""".split()
-SENTIMENT = """sentiment_lag_1 sentiment_lag_3 sentiment_ma_5 sentiment_ma_10 sentiment_ma_20
- sentiment_change_1d sentiment_change_3d sentiment_volatility_5d""".split()
+PRICE = [
+    "close_lag_1", "close_lag_2", "close_lag_3", "close_lag_5", "price_change_1d",
+    "price_change_3d", "price_change_5d", "ma_5", "close_vs_ma5", "ma_10", "close_vs_ma10", "ma_20",
+    "close_vs_ma20", "high_low_spread", "close_normalized_vs_lag1", "close_normalized_vs_lag5",
+]
+VOLUME = [
+    "volume_lag_1", "volume_ma_5", "volume_ma_20", "volume_change_1d", "volume_vs_ma5",
+    "volume_vs_ma20", "volume_normalized_vs_lag1",
+]
+SENTIMENT = [
+    "sentiment_lag_1", "sentiment_lag_3", "sentiment_ma_5", "sentiment_ma_10", "sentiment_ma_20",
+    "sentiment_change_1d", "sentiment_change_3d", "sentiment_volatility_5d",
+]
 TECHNICAL = ["momentum_ratio", "price_position_5d"]
-INTERACTION = """price_volume_interaction price_sentiment_interaction volume_sentiment_interaction
- price_volume_sentiment_interaction""".split()
-VOLATILITY = """price_volatility_5d price_volatility_10d volume_volatility_5d volatility_ratio_5_10
- risk_adjusted_return""".split()
+INTERACTION = [
+    "price_volume_interaction", "price_sentiment_interaction", "volume_sentiment_interaction",
+    "price_volume_sentiment_interaction",
+]
+VOLATILITY = [
+    "price_volatility_5d", "price_volatility_10d", "volume_volatility_5d", "volatility_ratio_5_10",
+    "risk_adjusted_return",
+]
 HELPERS = ["price_gain", "price_loss", "avg_gain_14", "avg_loss_14", "high_5d", "low_5d"]
 NAMES = PRICE + VOLUME + SENTIMENT + TECHNICAL + INTERACTION + VOLATILITY
 TOP25 = NAMES[:25]
+MEANS = ["ma_5", "ma_10", "ma_20"]
 
 COMPLETE = " AND ".join(f"{n} IS NOT NULL" for n in NAMES)
 
@@ -152,8 +163,8 @@ errs AS (SELECT *, target - prediction AS residual, abs(target - prediction) AS
 
 
 def _x(expr: str, name: str, digits: int = 6) -> str:
-    """Rounded with the borders moved off exact decimal ties, as in the catalogue."""
-    return f"round({expr} + {0.137 * 10**-digits!r}::DOUBLE, {digits}) + 0.0::DOUBLE AS {name}"
+    """Rounded as in the catalogue: moving averages of prices to 4 digits."""
+    return f"round({expr}, {4 if name in MEANS else digits}) + 0.0::DOUBLE AS {name}"
 
 
 def _r(names: list[str], digits: int = 6) -> str:
@@ -210,15 +221,17 @@ RECORD = f"""stock_symbol, "current_date", {_r(["current_price", "predicted_retu
 DIGEST = "md5(concat_ws('|', '42', stock_symbol, strftime(Date, '%Y-%m-%d %H:%M:%S')))"
 
 VERSIONS = """WITH versions AS (SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderdate AS started_at,
-  o_orderpriority AS model, CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'P' THEN 'Staging' END AS stage,
+  o_orderpriority AS name, CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'P' THEN 'Staging' END AS stage,
   CAST(o_custkey AS DOUBLE) AS version FROM orders)"""
-VERSION_ORDER = "(coalesce(stage, '') = 'Production') DESC, version DESC NULLS LAST, started_at DESC, run_id"
+VERSION_PLACE = "CASE coalesce(stage, 'None') WHEN 'Production' THEN 2 WHEN 'None' THEN 1 ELSE 0 END"
+VERSION_ORDER = f"""{VERSION_PLACE} DESC, CASE WHEN {VERSION_PLACE} > 0 THEN version END DESC NULLS LAST,
+  started_at DESC, run_id"""
 
 
 def _inference(name: str, source: str, require_target: bool) -> str:
-    """Features over the newest 50 validated bars of each symbol."""
-    newest = f"""newest AS (SELECT * FROM bars
-  QUALIFY row_number() OVER (PARTITION BY stock_symbol ORDER BY Date DESC) <= 50)"""
+    """Features of the newest 50 validated bars of each symbol, computed with the 19 bars before them."""
+    newest = f"""newest AS (SELECT *, row_number() OVER (PARTITION BY stock_symbol ORDER BY Date DESC) AS age FROM bars
+  QUALIFY age <= 69)"""
     whole = _features(name)
     start = whole.index("s1 AS (")
     body = whole[start:].replace("FROM bars WINDOW", "FROM newest WINDOW")
@@ -226,7 +239,7 @@ def _inference(name: str, source: str, require_target: bool) -> str:
         body = body.replace(f"{cte} AS (SELECT", f"n_{cte} AS (SELECT").replace(f"FROM {cte})", f"FROM n_{cte})")
         body = body.replace(f"FROM {cte} WINDOW", f"FROM n_{cte} WINDOW").replace(f"FROM {cte} ", f"FROM n_{cte} ")
     body = body.replace("FROM s2)", "FROM n_s2)")
-    keep = f"WHERE {COMPLETE}" + (" AND target IS NOT NULL" if require_target else "")
+    keep = f"WHERE age <= 50 AND {COMPLETE}" + (" AND target IS NOT NULL" if require_target else "")
     return f"{newest}, {body}, {source} AS (SELECT * FROM n_feats {keep})"
 
 
@@ -241,10 +254,28 @@ FROM (UNPIVOT (SELECT {MAE} AS mae, {MSE} AS mse, sqrt({MSE}) AS rmse, {R2} AS r
   ON COLUMNS(*) INTO NAME metric VALUE value)"""
 
 
+def _grid() -> str:
+    """The candidates of a search: every combination, each scored, one of them best."""
+    return """SELECT 'maxIter=' || i || ',maxDepth=' || d || ',stepSize=' || s AS params, true AS scored, 1::BIGINT AS n_best
+FROM (VALUES (2), (3)) a(i), (VALUES (2), (3)) b(d), (VALUES ('0.1'), ('0.2')) c(s)
+WHERE (SELECT count(*) FROM lineitem) > 0"""
+
+
+def _pruned(name: str) -> str:
+    """Greedy pruning on the training rows."""
+    pairs = [(i, j) for i in range(len(NAMES)) for j in range(len(NAMES))]
+    return f"""{_split(name)}, train_ AS (SELECT * FROM parted WHERE split = 'train'), {_corr(NAMES, pairs, "train_")},
+strong AS MATERIALIZED (SELECT j, list(i) AS partners FROM corr_ WHERE i <> j AND abs(r) > 0.95 GROUP BY j),
+walk AS (SELECT 0 AS step, [0] AS kept UNION ALL
+  SELECT step + 1, CASE WHEN list_has_any(kept, coalesce(partners, []::INT[])) THEN kept ELSE list_append(kept, step + 1) END
+  FROM walk LEFT JOIN strong ON strong.j = step + 1 WHERE step < {len(NAMES) - 1}),
+pruned AS (SELECT label, list_contains(kept, idx) AS kept FROM labels_, (SELECT kept FROM walk WHERE step = {len(NAMES) - 1}))"""
+
+
 def oracle() -> dict[str, str]:
     daily = "panel_daily"
     all_pairs = [(i, j) for i in range(len(NAMES)) for j in range(len(NAMES))]
-    low_pairs = [(i, j) for i in range(25) for j in range(25) if i > j]
+    low_pairs = [(i, j) for i in range(len(NAMES)) for j in range(len(NAMES)) if i > j]
     few = ["price_change_1d", "volume_change_1d", "sentiment_change_1d", "momentum_ratio", "target"]
     few_pairs = [(i, j) for i in range(5) for j in range(5) if i < j]
     describe = ["Close", "Volume", "Scaled_sentiment"]
@@ -260,7 +291,7 @@ def oracle() -> dict[str, str]:
         for s, e in statistics.items()
     )
     stats_rows = " UNION ALL ".join(
-        f"SELECT '{n}' AS feature, {_x(f'm_{n}', 'mean')}, {_x(f's_{n}', 'std')} FROM stats" for n in TOP25
+        f"SELECT '{n}' AS feature, {_x(f'm_{n}', 'mean')}, {_x(f's_{n}', 'std')} FROM stats" for n in NAMES
     )
     normal = NormalDist()
     qq = " UNION ALL ".join(
@@ -340,13 +371,13 @@ WHERE split = 'test'""",
 QUALIFY row_number() OVER (PARTITION BY stock_symbol ORDER BY Date DESC) <= 50""",
         "latest_1": f"""{_panel(daily)} SELECT stock_symbol, Date, {_r(["Close", "Volume"])} FROM panel
 QUALIFY row_number() OVER (PARTITION BY stock_symbol ORDER BY Date DESC) = 1""",
-        "scale_train_stats": f"{_split(daily)}, {_stats(TOP25)} {stats_rows}",
-        "scaled_features": f"""{_split(daily)}, {_stats(TOP25)} SELECT stock_symbol, Date, split, {_scaled(TOP25)}
+        "scale_train_stats": f"{_split(daily)}, {_stats(NAMES)} {stats_rows}",
+        "scaled_features": f"""{_split(daily)}, {_stats(NAMES)} SELECT stock_symbol, Date, split, {_scaled(NAMES)}
 FROM parted, stats""",
-        "scaled_vectors": f"""{_split(daily)}, {_stats(TOP25)} SELECT stock_symbol, Date, split, {_scaled(TOP25)}
+        "scaled_vectors": f"""{_split(daily)}, {_stats(NAMES)} SELECT stock_symbol, Date, split, {_scaled(NAMES)}
 FROM parted, stats""",
         "corr_long": f"{_clean(daily)}, {_corr(NAMES, all_pairs, 'clean')} {CORR_ROWS}",
-        "corr_lower": f"{_clean(daily)}, {_corr(TOP25, low_pairs, 'clean')} {CORR_ROWS}",
+        "corr_lower": f"{_clean(daily)}, {_corr(NAMES, low_pairs, 'clean')} {CORR_ROWS}",
         "corr_pairwise": f"{_features(daily)}, {_corr(few, few_pairs, 'feats')} {CORR_ROWS}",
         "corr_prune": f"""{_clean(daily)}, {_corr(NAMES, all_pairs, "clean")},
 strong AS MATERIALIZED (SELECT j, list(i) AS partners FROM corr_ WHERE i <> j AND abs(r) > 0.95 GROUP BY j),
@@ -408,13 +439,13 @@ SELECT {RECORD}, {_r(["predicted_change"])}, CASE WHEN predicted_change > 0 THEN
         "prediction_summary": f"""{_scored()}, {LATEST} SELECT {_x("avg(predicted_return)", "avg_return")},
   {_x("max(predicted_return)", "max_return")}, {_x("min(predicted_return)", "min_return")},
   count(*) FILTER (predicted_return > 0) AS n_bullish, count(*) FILTER (predicted_return < 0) AS n_bearish FROM latest""",
-        "inference_features": f"""{_split(daily)}, {_stats(TOP25)}, {_inference(daily, "fresh", False)}
-SELECT stock_symbol, Date, {_scaled(TOP25)} FROM fresh, stats""",
+        "inference_features": f"""{_split(daily)}, {_stats(NAMES)}, {_inference(daily, "fresh", False)}
+SELECT stock_symbol, Date, {_scaled(NAMES)} FROM fresh, stats""",
         "inference_features_with_target": f"""{_valid("panel_hourly")}, {_inference("panel_hourly", "fresh", True)}
-SELECT stock_symbol, Date, {_r(TOP25 + ["target"])} FROM fresh""",
+SELECT stock_symbol, Date, {_r(NAMES + ["target"])} FROM fresh""",
         "select_latest_run": f"{VERSIONS} SELECT * FROM versions ORDER BY {VERSION_ORDER} LIMIT 1",
         "select_latest_per_model": f"""{VERSIONS} SELECT * FROM versions
-QUALIFY row_number() OVER (PARTITION BY model ORDER BY {VERSION_ORDER}) = 1""",
+QUALIFY row_number() OVER (PARTITION BY name ORDER BY {VERSION_ORDER}) = 1""",
         "run_log_append": f"{_split(daily)} {_run_rows('a', 'train')} UNION ALL {_run_rows('b', 'test')}",
         "run_log_entities": f"""{_scored()}, m AS (SELECT stock_symbol, {MAE} AS mae, {MSE} AS mse, {R2} AS r2,
   CAST(count(*) AS DOUBLE) AS sample_count FROM scored GROUP BY 1)
@@ -426,6 +457,34 @@ FROM m UNPIVOT INCLUDE NULLS (value FOR metric IN (mae, mse, r2, sample_count))"
         "table_overwrite": f"{_valid(daily)} SELECT stock_symbol, Date, {_r(['Close', 'Volume'])} FROM bars",
         "table_append": f"SELECT * FROM ({_scored()}, {LATEST} SELECT {RECORD} FROM latest) UNION ALL "
         f"SELECT * FROM ({_scored('panel_hourly')}, {LATEST} SELECT {RECORD} FROM latest)",
-        "predictions_export": f"""{_scored()} SELECT stock_symbol, Date AS date, {_x("target", "true_value")},
-  {_x("prediction", "predicted_value")} FROM scored""",
+        "predictions_export": f"""{_scored()} SELECT 'prediction' AS part, stock_symbol AS name, Date AS date,
+  {_x("target", "x")}, {_x("prediction", "y")} FROM scored
+UNION ALL SELECT 'entity', stock_symbol, NULL, {_x(MAE, "x")}, {_x(R2, "y")} FROM scored GROUP BY stock_symbol
+UNION ALL SELECT 'feature', unnest({NAMES}), NULL, 1.0, NULL""",
+        "gbt_fit_score": f"""{_split(daily)} SELECT split, count(*) AS n, {_x("var_pop(target)", "spread")},
+  CASE WHEN split = 'train' THEN true END AS beats_mean FROM parted GROUP BY split""",
+        "gbt_importance": f"SELECT unnest({NAMES}) AS feature, true AS valid, true AS sums_to_one",
+        "gbt_pruned_features": f"{_pruned(daily)} SELECT label AS feature, true AS valid, true AS sums_to_one "
+        "FROM pruned WHERE kept",
+        "gbt_reload": f"""{_split(daily)} SELECT 0.0::DOUBLE AS largest_gap, count(*) AS n, true AS same_scaler
+FROM parted WHERE split = 'test'""",
+        **dict.fromkeys(("cv_grid", "cv_time_folds", "random_search"), _grid()),
+        "inference_run": f"""{_valid(daily)}, {_inference(daily, "fresh", False)}
+SELECT stock_symbol, Date AS current_date, {_x("Close", "current_price")}, true AS consistent FROM fresh
+QUALIFY row_number() OVER (PARTITION BY stock_symbol ORDER BY Date DESC) = 1""",
+        "inference_named": """SELECT * FROM (VALUES ('a', 'a1', 1.0::DOUBLE, 'Production'), ('b', 'b1', 1.0::DOUBLE, 'None'))
+  t(name, run_id, version, stage) WHERE (SELECT count(*) FROM events) > 0""",
+        "run_log_model": f"""{_split("panel_hourly")},
+numbers AS (SELECT unnest(['sequence_length', 'train_split', 'maxIter', 'maxDepth', 'stepSize', 'subsamplingRate', 'seed',
+    'num_features', 'layout_partitions']) AS key, unnest([50, 0.85, 5, 4, 0.1, 0.8, 42, {len(NAMES)},
+    greatest(1, ceil((SELECT count(*) FROM parted WHERE split = 'train') / 50000))]::DOUBLE[]) AS value)
+SELECT 'param' AS kind, key, NULL::VARCHAR AS text, {_x("value", "value")}, 1::BIGINT AS n FROM numbers
+UNION ALL SELECT * FROM (VALUES ('param', 'algorithm', 'GBTRegressor', NULL::DOUBLE, 1::BIGINT),
+  ('param', 'featureSubsetStrategy', 'sqrt', NULL, 1), ('param', 'feature_names', NULL, NULL, 1),
+  ('metric', 'importance', NULL, NULL, 10), ('model', 'name', 'panel_gbt', NULL, 1),
+  ('model', 'stage', 'Production', NULL, 1), ('model', 'version', NULL, 1, 1), ('model', 'path', NULL, NULL, 1)) t""",
+        "validate_without_volume": f"""{_panel("panel_edge")},
+kept AS (SELECT * FROM panel WHERE {ROW_RULES.replace("AND Volume IS NOT NULL ", "").replace("AND NOT isnan(Volume) ", "")}
+  AND Close > 0)
+SELECT stock_symbol, Date, {_r(["Close"])} FROM ({_jumps("kept")}) WHERE jump IS NULL OR jump <= 0.5""",
     }

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.layout import ROWS_PER_TASK, Layout, measure
-from barloom.schema import Keys
 
 _measured: dict[tuple, Layout] = {}
 
@@ -118,19 +117,14 @@ def raw_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Source rows behind each panel; they bound the number of its bars from above.
-SOURCES = {
-    "panel_daily": ("lineitem", "l_suppkey", "l_shipdate"),
-    "panel_hourly": ("events", "event_type", "ts"),
-    "panel_edge": ("events", "user_id", "ts"),
-}
 PANELS = {"panel_daily": panel_daily, "panel_hourly": panel_hourly, "panel_edge": panel_edge}
+SOURCES = {"panel_daily": "lineitem", "panel_hourly": "events", "panel_edge": "events"}
 
 
 def layout_of(spark: SparkSession, folder: str, panel: str, rows_per_task: int = ROWS_PER_TASK) -> Layout:
-    """The panel's layout, measured once per session on two columns of its source table."""
-    table, entity, time = SOURCES[panel]
-    key = (spark.sparkContext.applicationId, folder, table, entity, time, rows_per_task)
+    """The panel's layout, measured once for the files of its source table as they are now."""
+    files = tuple(sorted(load(spark, folder, SOURCES[panel]).inputFiles()))
+    key = (spark.sparkContext.applicationId, panel, rows_per_task, hash(files))
     if key not in _measured:
-        _measured[key] = measure(load(spark, folder, table), Keys(entity, time), rows_per_task)
+        _measured[key] = measure(PANELS[panel](spark, folder), rows_per_task=rows_per_task)
     return _measured[key]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ENTITY = "stock_symbol"
@@ -28,15 +30,24 @@ SUMMARY_COLUMNS = ["Close", "Volume", "Scaled_sentiment"]
 
 @dataclass(frozen=True)
 class Keys:
-    """Names of the two key columns of a panel."""
+    """Names of the two key columns of a panel, and of columns that order bars of equal time."""
 
     entity: str = ENTITY
     time: str = TIME
+    ties: tuple[str, ...] = ()
 
     @property
     def pair(self) -> list[str]:
         return [self.entity, self.time]
 
+    @property
+    def order(self) -> list[str]:
+        """Columns that order a history."""
+        return [self.time, *self.ties]
+
+    def tie_order(self, descending: bool = False) -> list[Column]:
+        return [F.col(c).desc() if descending else F.col(c) for c in self.ties]
+
 
 KEYS = Keys()
 

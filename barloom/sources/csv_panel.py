@@ -9,27 +9,32 @@ from pyspark.sql import types as T
 
 from barloom.operators.quality import clean_casts, combine_panels
 from barloom.schema import KEYS, Keys
+from barloom.sources.tables import path_missing
 
 FILE_STEM = r"([^/]+)\.csv$"
 
 
 def read_text_panel(
-    spark: SparkSession, path: str | list[str], entity_pattern: str = FILE_STEM, keys: Keys = KEYS
+    spark: SparkSession, path: str | list[str], entity_pattern: str | None = FILE_STEM, keys: Keys = KEYS
 ) -> DataFrame:
     """All ``*.csv`` files below ``path`` with every column as text, plus the entity.
 
     The entity is the upper-cased first group of ``entity_pattern`` in the file's path,
-    by default the file stem. The first file's header gives the columns. Every other file
+    by default the file stem; with None the files have it as a column, so their number need not grow with the entities. The first file's header gives the columns. Every other file
     is checked against it, so a file with another column order fails instead of mixing columns.
     """
     source = spark.read.option("header", True).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
     try:
         columns = source.csv(path).columns
     except AnalysisException as error:
+        if not path_missing(error):
+            raise
         raise FileNotFoundError(f"no CSV files in {path}") from error
     if not columns:
         raise FileNotFoundError(f"no CSV files in {path}")
     text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    if entity_pattern is None:
+        return source.schema(text).option("enforceSchema", False).csv(path)
     file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return (
         source.schema(text)
@@ -42,7 +47,7 @@ def read_text_panel(
 def read_panel(
     spark: SparkSession,
     path: str | list[str],
-    entity_pattern: str = FILE_STEM,
+    entity_pattern: str | None = FILE_STEM,
     time_type: str = "timestamp",
     keys: Keys = KEYS,
 ) -> DataFrame:

@@ -1,79 +1,7 @@
-"""Folders shared by all executors, and cutting of lineage."""
+"""Staging of frames that several passes read."""
 
 from __future__ import annotations
 
-import uuid
+from barloom.sources.shared import discard, shared_folder, stage, work_path, write_shared
 
-from pyspark.sql import DataFrame, SparkSession
-
-from barloom.functions.layout import Layout
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, else one on the default file system.
-
-    A default file system of ``file:`` is shared by all tasks only in a local session; elsewhere this raises.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    default = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
-    if default.startswith("file:"):
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        return f"file:///tmp/barloom-{context.applicationId}"
-    return f"{default.rstrip('/')}/tmp/barloom-{context.applicationId}"
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one run under the shared folder; it goes when the application ends."""
-    path = f"{shared_folder(spark)}/barloom/{name}-{uuid.uuid4().hex}"
-    _at_exit(spark, path)
-    return path
-
-
-def _at_exit(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(where)
-    files.deleteOnExit(where)
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a path of ``work_path`` that nothing reads any more."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def write_shared(df: DataFrame, name: str, codec: str = "zstd") -> tuple[DataFrame, str]:
-    """Compute once into a Parquet table of the shared folder; returns the table and its path.
-
-    Unlike a checkpoint of rows the table is columnar, so later readers still prune columns, and a lost executor
-    costs no recomputation.
-    """
-    spark, path = df.sparkSession, work_path(df.sparkSession, name)
-    df.write.mode("overwrite").option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def stage(df: DataFrame) -> DataFrame:
-    """Compute once and continue from a reliable checkpoint, which survives lost executors.
-
-    Select the needed columns first: the checkpoint holds everything in the frame.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = work_path(df.sparkSession, "checkpoints")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def settle(df: DataFrame, layout: Layout | None) -> DataFrame:
-    """Stage a computed frame before the next windows when histories are cut.
-
-    Windows over cut histories read their input more than once. Uncut ones read it once
-    and share one exchange with the step before, so nothing is written then.
-    """
-    return stage(df) if layout is not None and layout.grains else df
+__all__ = ["discard", "shared_folder", "stage", "work_path", "write_shared"]

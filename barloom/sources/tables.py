@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.quality import distribute
 from barloom.schema import KEYS, Keys
+from barloom.sources.staging import discard, write_shared
 
 
 def write_panel(df: DataFrame, path: str, keys: Keys = KEYS, partitions: int | None = None, format: str = "parquet") -> None:
@@ -23,17 +24,29 @@ def write_panel(df: DataFrame, path: str, keys: Keys = KEYS, partitions: int | N
 
 
 def write_append(df: DataFrame, path: str, format: str = "parquet") -> bool:
-    """Append rows to a table; an empty frame writes nothing. Says whether rows were written."""
-    if df.isEmpty():
-        return False
-    df.write.mode("append").format(format).save(path)
-    return True
+    """Append rows to a table; an empty frame writes nothing. Says whether rows were written.
+
+    The frame is computed once, into a staged table that is then looked at and appended.
+    """
+    ready, staged = write_shared(df, "append")
+    filled = not ready.isEmpty()
+    if filled:
+        ready.write.mode("append").format(format).save(path)
+    discard(df.sparkSession, staged)
+    return filled
+
+
+def path_missing(error: AnalysisException) -> bool:
+    """Whether reading failed because there is nothing at the path, and for no other reason."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_PATH_DOES_NOT_EXIST")
 
 
 def read_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     try:
         return spark.read.format(format).load(path)
     except AnalysisException as error:
+        if not path_missing(error):
+            raise
         raise FileNotFoundError(f"no table at {path}") from error
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -54,7 +55,7 @@ def test_large_frames_give_the_same_tables(spark):
     rng = random.Random(6)
     rows = [(k, rng.gauss(0, 1)) for k in "AAB" for _ in range(200)]
     df = spark.createDataFrame(rows, "stock_symbol string, residual double")
-    small, large = Layout(10), Layout(10**9, grains=(("A", 1),))
+    small, large = Layout(10), Layout(10**9, cuts=(("A", (1,)),))
 
     def same(make):
         a, b = (make(x).toPandas() for x in (small, large))
@@ -68,6 +69,13 @@ def test_large_frames_give_the_same_tables(spark):
     same(lambda x: diag.residual_stats(df, layout=x))
 
 
+@pytest.mark.parametrize("odd", [[math.nan, 4.0, math.nan], [math.inf, math.inf, 1.0], [-math.inf, math.inf, math.nan], [2.0] * 9])
+def test_large_path_equals_the_built_in_on_odd_values(spark, odd):
+    df = numbers(spark, [10.0, *odd, 4.0])
+    want = df.agg(F.percentile("residual", PS).alias("q")).first().q
+    assert exact_quantiles(df, "residual", PS) == pytest.approx(want, nan_ok=True)
+
+
 def test_residual_stats_match_pandas(spark):
     values = [random.Random(7).gauss(1, 2) ** 3 for _ in range(50)] + [1.0, 2.0, 3.5]
     r = diag.residual_stats(numbers(spark, values)).first()

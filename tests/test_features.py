@@ -26,7 +26,8 @@ def test_names_and_their_order():
     names = feat.feature_names()
     assert len(names) == 42 == len(set(names))
     assert names[:4] == ["close_lag_1", "close_lag_2", "close_lag_3", "close_lag_5"]
-    assert feat.model_features() == names[:25] and names[24] == "sentiment_lag_3"
+    assert feat.model_features() == names and names[24] == "sentiment_lag_3"
+    assert feat.model_features(FeatureConfig(max_features=25)) == names[:25]
     assert feat.model_features(FeatureConfig(max_features=0)) == names
 
 

@@ -53,7 +53,7 @@ def cut(skewed, request):
 
 def test_ordinary_panel_is_not_cut(spark):
     layout = measure(panel(spark, {"A": 20, "B": 30}))
-    assert layout.grains == () and layout.rows == 50 and layout.fits_one_task
+    assert layout.cuts == () and layout.rows == 50 and layout.fits_one_task
 
 
 def test_empty_panel(spark):
@@ -62,25 +62,55 @@ def test_empty_panel(spark):
 
 def test_only_long_histories_are_cut(skewed):
     layout = measure(skewed, rows_per_task=200)
-    assert [name for name, _ in layout.grains] == ["HOT"]
+    assert [name for name, _ in layout.cuts] == ["HOT"]
 
 
-def test_pieces_stay_within_twice_the_limit(skewed, cut):
-    grains = skewed.sparkSession.createDataFrame(list(cut.grains), "stock_symbol string, g long")
-    piece = F.floor(clock(skewed, "Date") / F.col("g"))
-    most = (
-        skewed.join(grains, "stock_symbol").groupBy("stock_symbol", "g", piece.alias("p")).count()
-        .filter("g > 1").agg(F.max("count")).first()[0]
-    )
-    assert most <= 2 * cut.rows_per_task
+def placed(skewed, cut, back=20, ahead=1):
+    """The rows that the windows of cut histories get, copies included."""
+    seen = []
+    over_history(skewed, lambda d, w: seen.append(d) or d, back=back, ahead=ahead, layout=cut)
+    return seen[1]
+
+
+def test_pieces_hold_about_equal_counts(skewed, cut):
+    sizes = [r.n for r in placed(skewed, cut).filter(~F.col(COPY)).groupBy("stock_symbol", PIECE).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 2 * cut.rows_per_task
+
+
+def test_copies_stay_few_whatever_the_gaps(skewed):
+    layout = measure(skewed, rows_per_task=200)
+    counts = placed(skewed, layout).agg(F.count("*"), F.count_if(COPY)).first()
+    assert counts[0] < 1.5 * 700 and counts[1] <= 21 * 5
+
+
+def test_only_long_histories_are_copied(skewed):
+    assert {r.stock_symbol for r in placed(skewed, measure(skewed, rows_per_task=200)).collect()} == {"HOT"}
+
+
+def test_null_entities_are_cut_like_others(skewed):
+    nameless = skewed.withColumn("stock_symbol", F.when(F.col("stock_symbol") != "HOT", F.col("stock_symbol")))
+    layout = measure(nameless, rows_per_task=100)
+    assert [name for name, _ in layout.cuts] == [None]
+    assert rows_of(feat.add_features(nameless, layout=layout)) == rows_of(feat.add_features(nameless))
+    assert rows_of(split.time_split(nameless, 0.85, layout)) == rows_of(split.time_split(nameless, 0.85))
+
+
+def test_equal_times_follow_the_tie_columns(spark):
+    rng = random.Random(8)
+    rows = [("HOT", START + dt.timedelta(seconds=i // 4), float(i % 4), rng.uniform(1, 2)) for i in range(600)]
+    df = spark.createDataFrame(rows, "stock_symbol string, Date timestamp_ntz, n double, Close double").repartition(5)
+    keys = Keys(ties=("n",))
+    lag = lambda d, w: d.withColumn("before", F.lag("Close", 3).over(w))
+    layout = measure(df, keys, rows_per_task=50)
+    assert rows_of(over_history(df, lag, 3, 0, layout, keys)) == rows_of(over_history(df, lag, 3, 0, None, keys))
+    assert rows_of(split.latest_n(df, 3, keys)) == rows_of(df.orderBy(F.desc("Date"), F.desc("n")).limit(3))
+    assert split.latest_one(df, keys).first().n == 3.0
 
 
 def test_windows_see_only_a_bounded_number_of_rows(skewed):
     """No task may receive a whole long history: pieces plus their copies bound the group size."""
     layout = measure(skewed, rows_per_task=60)
-    largest = []
-    over_history(skewed, lambda d, w: largest.append(d) or d, back=20, ahead=1, layout=layout)
-    groups = largest[0].groupBy("stock_symbol", PIECE).agg(
+    groups = placed(skewed, layout).groupBy("stock_symbol", PIECE).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(COPY).alias("copies")
     )
     top = groups.filter("stock_symbol = 'HOT'").agg(F.max("n"), F.max("copies")).first()

@@ -105,6 +105,8 @@ def test_directions(spark):
         ([("a", 1, "None", 5.0), ("b", 2, "Production", 1.0)], "b"),
         ([("a", 1, "None", 5.0), ("b", 2, None, 1.0)], "a"),
         ([("a", 1, None, None), ("b", 2, None, None)], "b"),
+        ([("a", 1, "None", 1.0), ("b", 2, "Archived", 9.0), ("c", 3, "Staging", 8.0)], "a"),
+        ([("b", 2, "Archived", 9.0), ("c", 3, "Staging", 8.0)], "c"),
     ],
 )
 def test_run_selection(spark, rows, want):
@@ -141,7 +143,7 @@ def test_training_beats_the_mean(trained):
 
 def test_importances_sum_to_one(trained):
     rows = trained[3].evaluation.importance.collect()
-    assert sum(r.importance for r in rows) == pytest.approx(1) and [r["rank"] for r in rows] == list(range(1, 26))
+    assert sum(r.importance for r in rows) == pytest.approx(1) and [r["rank"] for r in rows] == list(range(1, 43))
     assert all(a.importance >= b.importance for a, b in zip(rows, rows[1:]))
 
 
@@ -149,7 +151,7 @@ def test_run_log_holds_parameters_and_metrics(spark, trained):
     home, _, _, run = trained
     log = {r.key: r for r in tables.read_table(spark, f"{home}/runs").collect()}
     assert log["maxDepth"].value == 3.0 and log["algorithm"].text == "GBTRegressor"
-    assert log["num_features"].value == 25 and log["feature_names"].text.startswith("close_lag_1,")
+    assert log["num_features"].value == 42 and log["feature_names"].text.startswith("close_lag_1,")
     assert log["test_r2"].value == pytest.approx(run.evaluation.test_metrics.first().r2)
     assert "S0_mae" in log and log["version"].value == 1 and log["training_time_seconds"].value > 0
     assert sum(k.startswith("importance_") for k in log) == 10
@@ -185,20 +187,42 @@ def test_inference_predicts_the_newest_bar(spark, trained):
 def test_searches(spark, trained):
     _, _, _, run = trained
     ranges = {"maxIter": [1, 2], "maxDepth": [1, 2, 3]}
-    cfg = TuningConfig(ranges=ranges, folds=2, max_values=2, n_trials=4)
+    cfg = TuningConfig(ranges=ranges, folds=2, n_trials=4)
     train = model.fixed_layout(run.data.train).cache()
     grid = model.tune(train, cfg)
-    assert len(grid.trials) == 4 and grid.score == min(s for _, s in grid.trials)
+    assert len(grid.trials) == 6 and grid.score == min(t.score for t in grid.trials)
+    assert grid.model.featureImportances == model.fit_gbt(train, {**grid.params, "seed": cfg.seed}).featureImportances
     r2 = model.tune(train, TuningConfig(method="random", ranges=ranges, n_trials=4, metric="r2"))
-    assert len(r2.trials) == 4 and r2.score == max(s for _, s in r2.trials)
+    assert len(r2.trials) == 4 and r2.score == max(t.score for t in r2.trials)
     bad = TuningConfig(method="random", ranges={"maxIter": [1], "maxDepth": [2, 99]}, n_trials=2)
-    scores = dict((p["maxDepth"], s) for p, s in model.tune(train, bad).trials)
-    assert scores[99] == math.inf and scores[2] < math.inf
+    by_depth = {t.params["maxDepth"]: t for t in model.tune(train, bad).trials}
+    assert by_depth[99].score is None and "maxDepth" in by_depth[99].error and by_depth[2].score < math.inf
+    for kind in ("random", "time"):
+        with pytest.raises(RuntimeError, match="every candidate failed"):
+            model.tune(train, TuningConfig(method="random" if kind == "random" else "grid", fold_kind=kind, ranges={"maxDepth": [99]}))
+
+
+def test_time_folds_look_forward_only(spark, trained):
+    _, _, _, run = trained
+    folded = model.time_folds(run.data.train, 3)
+    spans = folded.groupBy("stock_symbol", "fold").agg(F.min("Date").alias("a"), F.max("Date").alias("b")).collect()
+    at = {(r.stock_symbol, r.fold): r for r in spans}
+    assert all(at[s, k].b < at[s, k + 1].a for s, k in at if k < 2)
+    found = model.tune(run.data.train, TuningConfig(ranges={"maxIter": [1], "maxDepth": [1, 2]}, folds=2, fold_kind="time"))
+    assert len(found.trials) == 2 and found.score == min(t.score for t in found.trials)
+
+
+def test_layout_follows_the_rows_alone(spark, trained):
+    train = trained[3].data.train
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    assert model.fixed_layout(train).rdd.getNumPartitions() == 1
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert [model.layout_partitions(n) for n in (0, 50_000, 50_001, 10**12)] == [1, 1, 2, 20_000]
 
 
 def test_grid_size_of_the_defaults():
     assert len(model.candidates(TuningConfig().ranges, 3)) == 243
-    assert len(model.candidates(TuningConfig().ranges, None)) == 432
+    assert len(model.candidates(TuningConfig().ranges, TuningConfig().max_values)) == 432
 
 
 def test_pruned_training_set(spark, trained):
@@ -206,3 +230,24 @@ def test_pruned_training_set(spark, trained):
     cfg = PipelineConfig(features=FeatureConfig(max_features=10), gbt=SMALL)
     names = training.training_set(panel, cfg, select="corr").names
     assert len(names) == 10 and not {"close_normalized_vs_lag1", "close_normalized_vs_lag5"} & set(names)
+    assert len(training.training_set(panel, PipelineConfig(gbt=SMALL), select="corr").names) > 10
+
+
+def test_short_sequences_do_not_change_the_newest_bar(spark, trained):
+    _, panel, cfg, _ = trained
+    whole = inference.inference_rows(panel, cfg).filter("stock_symbol = 'S1'").orderBy(F.desc("Date")).first()
+    short = inference.inference_rows(panel, PipelineConfig(sequence_length=3))
+    assert short.groupBy("stock_symbol").count().agg(F.max("count")).first()[0] == 3
+    assert short.filter("stock_symbol = 'S1'").orderBy(F.desc("Date")).first() == whole
+
+
+def test_shared_folder(spark):
+    from barloom.sources import shared
+
+    assert shared.shared_folder(spark) == (spark.conf.get("spark.checkpoint.dir", None) or shared.shared_folder(spark)).rstrip("/")
+    path = shared.work_path(spark, "x")
+    frame, written = shared.write_shared(spark.range(3), "y")
+    assert frame.count() == 3 and path != written
+    shared.discard(spark, written)
+    with pytest.raises(Exception, match="(?i)not.?exist|PATH_NOT_FOUND"):
+        spark.read.parquet(written)
