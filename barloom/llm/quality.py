@@ -20,7 +20,7 @@ from barloom.llm import words as W
 
 # Fixed values: (length in bytes from which the band holds, least ratio, greatest ratio).
 BANDS = (
-    (0, 0.0, 9.9),
+    (0, 0.0, float("inf")),
     (128, 0.30, 1.02),
     (256, 0.25, 0.97),
     (512, 0.20, 0.90),

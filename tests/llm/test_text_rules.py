@@ -69,6 +69,9 @@ def test_chunks_are_judged_on_their_own(spark):
     row = quality.judge(frame(spark, [(1, text)])).first()
     assert row.n_chunks == -(-len(text) // 4096) and row.high_chunks >= 2 and row.low_chunks == 0
     assert row.reason == "incompressible_chunks" and row.whole_ratio < quality.band(quality.Rules(), len(text))[1]
+    tail = " ".join(rng.choices(vocabulary, k=1200))[:4096].rstrip() + "x" * 4096
+    odd = quality.judge(frame(spark, [(1, tail[:4097])])).first()
+    assert odd.n_chunks == 2 and odd.kept  # a chunk of one byte has no limit
     assert quality.judge(frame(spark, [])).count() == 0
 
 
