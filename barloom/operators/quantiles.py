@@ -14,14 +14,19 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.layout import Layout
+from barloom.functions.layout import ROWS_PER_TASK, Layout
 
 SKETCH_ACCURACY = 50_000
+GRID = 64
 _INTERVAL = "_interval"
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: list[float], accuracy: int = SKETCH_ACCURACY
+    df: DataFrame,
+    value: str,
+    probabilities: list[float],
+    accuracy: int = SKETCH_ACCURACY,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> list[float] | None:
     """Quantiles of one column over the whole frame, or None when it has no values."""
     rows = df.select(F.col(value).alias("x")).filter(F.col("x").isNotNull())
@@ -29,7 +34,7 @@ def exact_quantiles(
     if not n:
         return None
     held = rows.withColumn("entity", F.lit("")).withColumn("cuts", F.array(*[F.lit(c) for c in dict.fromkeys(cuts)]))
-    return _select_ranks(_placed(held), {"": n}, probabilities)[""]
+    return _select_ranks(_placed(held), {"": n}, probabilities, rows_per_task)[""]
 
 
 def exact_quantiles_of(
@@ -83,23 +88,61 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), at - low
 
 
-def _select_ranks(
-    placed: DataFrame, sizes: dict[str, int], probabilities: list[float]
-) -> dict[str, list[float]]:
-    """Read the order statistics next to each probability from rows labelled with intervals."""
-    spark = placed.sparkSession
+def _targets(placed: DataFrame, wanted: dict[str, list[int]]) -> dict[tuple[str, float], tuple[int, list[tuple[int, int]]]]:
+    """Intervals that hold a wanted rank: their size, and each rank with its place in the interval."""
     counts = defaultdict(list)
     for r in placed.groupBy("entity", _INTERVAL).count().collect():
         counts[r.entity].append((r[_INTERVAL], r["count"]))
-    targets = []
+    out = {}
     for entity, intervals in counts.items():
-        wanted = sorted({k for p in probabilities for k in _ranks(sizes[entity], p)[:2]})
         before = 0
         for interval, n in sorted(intervals):
-            targets += [(entity, interval, k, k - before) for k in wanted if before <= k < before + n]
+            inside = [(k, k - before) for k in wanted[entity] if before <= k < before + n]
+            if inside:
+                out[entity, interval] = (n, inside)
             before += n
-    ranks = spark.createDataFrame(targets, f"entity string, {_INTERVAL} double, rank long, local long")
-    ranks = F.broadcast(ranks)
+    return out
+
+
+def _narrowed(placed: DataFrame, heavy: list[tuple[str, float]], step: float) -> DataFrame:
+    """Cut each of the given intervals at a sketch of its own; labels keep the order of the values."""
+    keys = F.broadcast(placed.sparkSession.createDataFrame(heavy, f"entity string, {_INTERVAL} double"))
+    grid = [k / GRID for k in range(1, GRID)]
+    found = (
+        placed.join(keys, ["entity", _INTERVAL])
+        .groupBy("entity", _INTERVAL)
+        .agg(F.array_distinct(F.percentile_approx("x", grid, 100 * GRID)).alias("cuts"))
+        .collect()
+    )
+    cuts = placed.sparkSession.createDataFrame(
+        [(r.entity, r[_INTERVAL], r.cuts) for r in found], f"entity string, {_INTERVAL} double, cuts array<double>"
+    )
+    inner = F.size(F.filter("cuts", lambda c: c <= F.col("x"))) * step
+    return (
+        placed.join(F.broadcast(cuts), ["entity", _INTERVAL], "left")
+        .withColumn(_INTERVAL, F.col(_INTERVAL) + F.when(F.col("cuts").isNotNull(), inner).otherwise(0.0))
+        .drop("cuts")
+    )
+
+
+def _select_ranks(
+    placed: DataFrame, sizes: dict[str, int], probabilities: list[float], rows_per_task: int = ROWS_PER_TASK
+) -> dict[str, list[float]]:
+    """Read the order statistics next to each probability from rows labelled with intervals.
+
+    An interval of more than ``rows_per_task`` rows is cut again until it fits, or until one value fills it.
+    """
+    spark = placed.sparkSession
+    wanted = {e: sorted({k for p in probabilities for k in _ranks(n, p)[:2]}) for e, n in sizes.items()}
+    targets = _targets(placed, wanted)
+    step, done = 1.0, set()
+    while heavy := [k for k, (n, _) in targets.items() if n > rows_per_task and (k, n) not in done]:
+        done |= {(k, targets[k][0]) for k in heavy}
+        step /= 2 * GRID
+        placed = _narrowed(placed, heavy, step)
+        targets = _targets(placed, wanted)
+    rows = [(e, interval, k, local) for (e, interval), (_, inside) in targets.items() for k, local in inside]
+    ranks = F.broadcast(spark.createDataFrame(rows, f"entity string, {_INTERVAL} double, rank long, local long"))
     w = Window.partitionBy("entity", _INTERVAL).orderBy("x")
     ordered = (
         placed.join(ranks.select("entity", _INTERVAL).distinct(), ["entity", _INTERVAL], "left_semi")
@@ -114,15 +157,10 @@ def _select_ranks(
         .collect()
     )
     at = {(r.entity, r["rank"]): r.x for r in hits}
-    out = {}
-    for entity in counts:
-        values = []
-        for p in probabilities:
-            low, high, weight = _ranks(sizes[entity], p)
-            a, b = at[entity, low], at[entity, high]
-            values.append(_between(a, b, weight))
-        out[entity] = values
-    return out
+    return {
+        e: [_between(at[e, low], at[e, high], weight) for low, high, weight in (_ranks(n, p) for p in probabilities)]
+        for e, n in sizes.items()
+    }
 
 
 def quantile_column(
@@ -131,5 +169,6 @@ def quantile_column(
     """One row (``q``: array) with the exact quantiles of a column over the whole frame."""
     if layout is not None and layout.fits_one_task:
         return df.agg(F.percentile(value, probabilities).alias("q"))
-    found = exact_quantiles(df, value, probabilities)
+    limit = layout.rows_per_task if layout else ROWS_PER_TASK
+    found = exact_quantiles(df, value, probabilities, rows_per_task=limit)
     return df.sparkSession.createDataFrame([(found,)], "q array<double>")

@@ -69,6 +69,13 @@ def test_large_frames_give_the_same_tables(spark):
     same(lambda x: diag.residual_stats(df, layout=x))
 
 
+def test_wide_intervals_are_cut_again(spark):
+    rng = random.Random(11)
+    values = [rng.gauss(0, 1) for _ in range(3000)] + [0.25] * 500
+    got = exact_quantiles(numbers(spark, values), "residual", PS, accuracy=4, rows_per_task=10)
+    assert got == pytest.approx(np.quantile(values, PS))
+
+
 @pytest.mark.parametrize("odd", [[math.nan, 4.0, math.nan], [math.inf, math.inf, 1.0], [-math.inf, math.inf, math.nan], [2.0] * 9])
 def test_large_path_equals_the_built_in_on_odd_values(spark, odd):
     df = numbers(spark, [10.0, *odd, 4.0])
