@@ -76,10 +76,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules()) -> D
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Documents without any overlap, all columns as they were."""
-    leaked = overlaps(docs, benchmark, rules).select("doc_id").distinct()
-    kept = docs.join(leaked.withColumnRenamed("doc_id", "leaked_id"), F.col("doc_id") == F.col("leaked_id"), "left_anti")
-    return kept.select(*[docs[name] for name in docs.columns])
+    """Rows without any overlap, all columns as they were; judged where they are read, so nothing is shuffled."""
+    for block in _blocks(benchmark, rules):
+        docs = docs.mapInArrow(partial(_clean, block, rules), docs.schema)
+    return docs
 
 
 def _blocks(benchmark: DataFrame, rules: Rules) -> Iterator[Items]:
@@ -147,27 +147,39 @@ def _filter(keys: np.ndarray) -> np.ndarray:
 
 
 def _overlaps(items: Items, rules: Rules, batches) -> Iterator[pa.RecordBatch]:
-    masks = [_positions(mask) for mask in rules.masks]
-    lengths = sorted({-int(m) for m in items.mask[items.mask < 0]})
     names = [column.split()[0] for column in SCHEMA.split(", ")]
     for batch in batches:
         doc_ids = batch.column(0)
         for part in W.slices(batch.column(1)):
-            words = part.hashes()
-            pairs = []
-            for number, positions in enumerate(masks):
-                starts = W.full_starts(part.first, positions[-1] + 1)
-                pairs.append(_hits(items, _seed(words, starts, positions, number), starts, number))
-            for length in lengths:
-                starts = W.full_starts(part.first, length)
-                pairs.append(_hits(items, W.windows(words, starts, length, length), starts, -length))
-            rows = _verified(items, rules, part, words, np.concatenate(pairs, axis=1))
+            rows = _found(items, rules, part)
             if rows:
                 owner, *rest = zip(*rows)
                 ids = doc_ids[part.rows].take(pa.array(owner, pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in rest)], names=names)
 
 
+def _clean(items: Items, rules: Rules, batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kept = np.ones(batch.num_rows, bool)
+        for part in W.slices(batch.column(batch.schema.get_field_index("text"))):
+            for owner, *_ in _found(items, rules, part):
+                kept[part.rows.start + owner] = False
+        yield batch.filter(pa.array(kept))
+
+
+def _found(items: Items, rules: Rules, part: W.Words) -> list[tuple]:
+    """Overlaps of a slice of documents, each with the document's place in the slice first."""
+    words = part.hashes()
+    pairs = []
+    for number, positions in enumerate(map(_positions, rules.masks)):
+        starts = W.full_starts(part.first, positions[-1] + 1)
+        pairs.append(_hits(items, _seed(words, starts, positions, number), starts, number))
+    for length in sorted({-int(m) for m in items.mask[items.mask < 0]}):
+        starts = W.full_starts(part.first, length)
+        pairs.append(_hits(items, W.windows(words, starts, length, length), starts, -length))
+    return _verified(items, rules, part, words, np.concatenate(pairs, axis=1))
+
+
 def _hits(items: Items, seeds: np.ndarray, starts: np.ndarray, mask: int) -> np.ndarray:
     """Pairs (document word, item word) with equal seeds of one mask."""
     maybe = np.flatnonzero(items.filter[seeds >> np.uint64(64 - FILTER_BITS)])
