@@ -562,6 +562,13 @@ def select_latest_per_model(spark, folder):
     return runs.select_latest_run(_versions(spark, folder), by=["name"])
 
 
+@query
+def run_stamps(spark, folder):
+    """Start times as the stamps that name runs and exports."""
+    stamp = forecast.run_stamp(F.col("started_at")).alias("stamp")
+    return _versions(spark, folder).select("run_id", stamp)
+
+
 @query
 def run_log_append(spark, folder):
     """Metrics of two runs appended to one table and read back."""

@@ -448,6 +448,7 @@ SELECT stock_symbol, Date, {_r(NAMES + ["target"])} FROM fresh""",
         "select_latest_run": f"{VERSIONS} SELECT * FROM versions ORDER BY {VERSION_ORDER} LIMIT 1",
         "select_latest_per_model": f"""{VERSIONS} SELECT * FROM versions
 QUALIFY row_number() OVER (PARTITION BY name ORDER BY {VERSION_ORDER}) = 1""",
+        "run_stamps": f"{VERSIONS} SELECT run_id, strftime(started_at, '%Y%m%d_%H%M%S') AS stamp FROM versions",
         "run_log_append": f"{_split(daily)} {_run_rows('a', 'train')} UNION ALL {_run_rows('b', 'test')}",
         "run_log_entities": f"""{_scored()}, m AS (SELECT stock_symbol, {MAE} AS mae, {MSE} AS mse, {R2} AS r2,
   CAST(count(*) AS DOUBLE) AS sample_count FROM scored GROUP BY 1)
