@@ -52,8 +52,8 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     ``class_id`` is the least doc_id of the class. Texts without words, NULL among them, have no shingle and are
     classes of their own, as are rows without doc_id (their class is NULL). A text of fewer words than a shingle is
-    one shingle. Repeated rows are equal texts; rows of one doc_id with other texts are classed by text. Other columns
-    are ignored; an empty input gives no row.
+    one shingle. Repeated rows are equal texts. A doc_id is expected to name one text: where it comes with another as
+    well, both texts are classed, but share their links. Other columns are ignored; an empty input gives no row.
     """
     key = content_key(F.col("text")).alias("content_key")
     signed, signed_path = write_shared(
@@ -75,9 +75,9 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     known = full.groupBy("content_key").agg(F.min("doc_id").alias("node"))
     named = known.join(roots, "node", "left").select("content_key", F.coalesce("root", "node").alias("class_id"))
     out = signed.withColumn("worded", F.col("bands").isNotNull()).join(named, "content_key", "left")
-    result = out.select(
-        "doc_id", "content_key", F.when(F.col("worded") & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")
-    )
+    linked = F.col("worded") & F.col("doc_id").isNotNull()
+    class_id = F.when(linked, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")
+    result = out.select("doc_id", "content_key", class_id)
     for used in (bucket_path, column_path):
         discard(docs.sparkSession, used)
     return result
@@ -229,7 +229,8 @@ def components(links: DataFrame) -> DataFrame:
     keep the components, and a few alternations leave one star for each. Each step is a written table.
     """
     spark = links.sparkSession
-    edges, path = write_shared(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    pairs = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges, path = write_shared(pairs.distinct(), "edges")
     before = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
