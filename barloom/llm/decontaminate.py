@@ -3,7 +3,8 @@
 A seed is a fixed mask over consecutive words that looks at some positions and ignores the others, so a substituted
 word at an ignored position does not break the hit. Training windows and test windows are joined on the hash of the
 looked-at words. Around every hit the two texts are compared word by word on its diagonal, and the overlap extends
-while matches outweigh substitutions.
+while matches outweigh substitutions. An extension that runs on into text that is too unlike gives way to the longest
+stretch of the diagonal that reaches the rules.
 
 The test side is the stated query set: its seeds go to every task in blocks of bounded size, and each block is run
 against all documents, so nothing of the training side is shuffled.
@@ -11,8 +12,10 @@ against all documents, so nothing of the training side is shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import partial
 
 import numpy as np
@@ -192,7 +195,10 @@ def _hits(items: Items, seeds: np.ndarray, starts: np.ndarray, mask: int) -> np.
 
 
 def _verified(items: Items, rules: Rules, part: W.Words, words: np.ndarray, pairs: np.ndarray) -> list[tuple]:
-    """Best overlap per (document, item) among the hits; a hit inside an overlap already measured is not repeated."""
+    """Best overlap per (document, item) among the hits; a hit inside an overlap already measured is not repeated.
+
+    Where the extension of a hit does not reach the rules, the longest stretch of its whole diagonal that does counts.
+    """
     best: dict[tuple[int, int], tuple] = {}
     if not pairs.shape[1]:
         return []
@@ -207,11 +213,16 @@ def _verified(items: Items, rules: Rules, part: W.Words, words: np.ndarray, pair
         left = min(at - part.first[d], there - items.first[i])
         right = min(part.first[d + 1] - at, items.first[i + 1] - there)
         equal = words[at - left : at + right] == items.hashes[there - left : there + right]
+        size = int(items.first[i + 1] - items.first[i])
         start, end = _extend(equal, int(left), rules)
         done = (d, i, at - there, at - left + end)
-        n_equal, size = int(equal[start:end].sum()), int(items.first[i + 1] - items.first[i])
-        if n_equal < min(rules.least_equal, -(-rules.least_share * size // 1)) or n_equal < rules.least_share * (end - start):
-            continue
+        n_equal = int(equal[start:end].sum())
+        if n_equal < _needed(rules, size) or n_equal < rules.least_share * (end - start):
+            start, end = _longest(equal, rules)
+            done = (d, i, at - there, at + right)
+            n_equal = int(equal[start:end].sum())
+            if n_equal < _needed(rules, size):
+                continue
         row = (n_equal, -(end - start), -int(at - left + start - part.first[d]), int(there - left + start - items.first[i]), size)
         if (d, i) not in best or row > best[d, i]:
             best[d, i] = row
@@ -221,6 +232,30 @@ def _verified(items: Items, rules: Rules, part: W.Words, words: np.ndarray, pair
     ]
 
 
+def _needed(rules: Rules, size: int) -> int:
+    """Equal words an overlap with an item of ``size`` words must have."""
+    return min(rules.least_equal, math.ceil(Fraction(str(rules.least_share)) * size))
+
+
+def _longest(equal: np.ndarray, rules: Rules) -> tuple[int, int]:
+    """The stretch of most equal words among those of ``least_share``; of these the shortest, then the first.
+
+    It begins and ends at equal words. From the i-th to the j-th of them it has the share if the gain before i, of
+    1 - least_share an equal word and -least_share a substituted one, is at most the gain up to and with j.
+    """
+    share = Fraction(str(rules.least_share))
+    at = np.flatnonzero(equal)
+    if not len(at):
+        return 0, 0
+    place = np.arange(len(at))
+    before = place * share.denominator - at * share.numerator
+    after = before + share.denominator - share.numerator
+    first = np.searchsorted(-np.minimum.accumulate(before), -after)  # the first i whose gain before is low enough
+    count = place - first + 1
+    best = np.lexsort((at, at - at[first], -count))[0]
+    return int(at[first[best]]), int(at[best]) + 1
+
+
 def _extend(equal: np.ndarray, seed: int, rules: Rules) -> tuple[int, int]:
     """The overlap around a seed that begins at ``seed``: extended both ways to the best sum of matches."""
     gain = np.where(equal, 1, -rules.penalty)

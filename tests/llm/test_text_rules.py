@@ -8,6 +8,7 @@ import random
 import re
 import string
 
+import numpy as np
 import pytest
 import zstandard
 
@@ -229,6 +230,47 @@ def test_equal_to_brute_force_on_exact_runs(spark):
     assert runs <= set(pairs) and all(n >= 13 for n in pairs.values())
 
 
+def qualifying(words, item, rules=decontaminate.Rules()):
+    """Whether any stretch of any diagonal reaches the rules, by trying them all."""
+    needed = min(rules.least_equal, -(-4 * len(item) // 5))
+    for shift in range(-len(item) + 1, len(words)):
+        sums = [0]
+        for k in range(max(0, -shift), min(len(item), len(words) - shift)):
+            sums.append(sums[-1] + (words[k + shift] == item[k]))
+        for a in range(len(sums)):
+            if any(sums[b] - sums[a] >= needed and 5 * (sums[b] - sums[a]) >= 4 * (b - a) for b in range(a + 1, len(sums))):
+                return True
+    return False
+
+
+def substituted(rng, words, share):
+    return [f"other{rng.randrange(10**9)}" if rng.random() < share else w for w in words]
+
+
+def test_more_leaked_text_does_not_hide_a_leak(spark):
+    rng = random.Random(12)
+    item = prose(rng, 120).split()
+    docs = [(1, " ".join(w if k < 20 or k % 4 else "other" for k, w in enumerate(item))), (2, " ".join(item[:20]))]
+    bench = spark.createDataFrame([(0, " ".join(item), "x")], BENCH)
+    got = {r.doc_id: r for r in decontaminate.overlaps(frame(spark, docs), bench).collect()}
+    assert set(got) == {1, 2} and got[1].n_equal >= 20 and 5 * got[1].n_equal >= 4 * got[1].n_overlap
+    assert decontaminate.clean(frame(spark, docs), bench).count() == 0
+
+
+def test_longest_stretch_equals_brute_force():
+    rng, rules = random.Random(13), decontaminate.Rules()
+    for _ in range(400):
+        share = rng.choice([0.1, 0.2, 0.25, 0.4, 0.9])
+        equal = [rng.random() >= share for _ in range(rng.randint(1, 40))]
+        best = (0, 0, 0)
+        for a in range(len(equal)):
+            for b in range(a + 1, len(equal) + 1):
+                if 5 * sum(equal[a:b]) >= 4 * (b - a):
+                    best = max(best, (sum(equal[a:b]), a - b, -a))
+        start, end = decontaminate._longest(np.array(equal), rules)
+        assert (sum(equal[start:end]), start - end, -start) == best, equal
+
+
 def test_empty_sides(spark):
     bench, docs = spark.createDataFrame([], BENCH), frame(spark, [(1, "a b c d e f g")])
     assert decontaminate.overlaps(docs, bench).count() == 0 and decontaminate.clean(docs, bench).count() == 1
