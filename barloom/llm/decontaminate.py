@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from barloom.llm import words as W
 
-# 1 looks at a word, 0 ignores it. Every mask looks at 6 of at most 11 words.
-MASKS = ("1101100101", "11010001011", "111111")
+# 1 looks at a word, 0 ignores it. With the default rules no overlap is without a hit: s substitutions
+# among e >= max(13, 4 s) equal words leave a run of 4, and in items of up to 15 words, which need fewer, one of the
+# gapped masks fits where no such run is left. Items of up to 4 words must be equal in every word.
+MASKS = ("1111", "11101", "11011", "10111")
 SCHEMA = "doc_id long, item_id long, start long, item_start long, n_overlap long, n_equal long, n_item_words long"
 
 
@@ -64,8 +66,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules()) -> D
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Columns doc_id, item_id, start and item_start (word positions),
     n_overlap (aligned words), n_equal and n_item_words. NULL texts have no words and match nothing; so do items
-    shorter than the shortest mask unless a document equals them word for word there. Repeated documents of one
-    doc_id give one row; other columns are ignored; an empty side gives no row.
+    shorter than the shortest mask unless a document equals them word for word there, which the default rules ask of
+    them anyway. Repeated documents of one doc_id give one row; other columns are ignored; an empty side gives no row.
     """
     texts = docs.select("doc_id", "text")
     found = None
@@ -214,6 +216,9 @@ def _verified(items: Items, rules: Rules, part: W.Words, words: np.ndarray, pair
         right = min(part.first[d + 1] - at, items.first[i + 1] - there)
         equal = words[at - left : at + right] == items.hashes[there - left : there + right]
         size = int(items.first[i + 1] - items.first[i])
+        if int(equal.sum()) < _needed(rules, size):
+            done = (d, i, at - there, at + right)
+            continue
         start, end = _extend(equal, int(left), rules)
         done = (d, i, at - there, at - left + end)
         n_equal = int(equal[start:end].sum())

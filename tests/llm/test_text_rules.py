@@ -257,6 +257,38 @@ def test_more_leaked_text_does_not_hide_a_leak(spark):
     assert decontaminate.clean(frame(spark, docs), bench).count() == 0
 
 
+def test_every_overlap_has_a_seed():
+    rules = decontaminate.Rules()
+    for n in range(4, 21):  # the least item that holds n words asks for the fewest
+        patterns = np.arange(1 << n)
+        ones = np.bitwise_count(patterns)
+        counted = patterns[(ones >= decontaminate._needed(rules, n)) & (5 * ones >= 4 * n)]
+        hit = np.zeros(len(counted), bool)
+        for mask in rules.masks:
+            for shift in range(n - len(mask) + 1):
+                looked = int(mask, 2) << shift
+                hit |= counted & looked == looked
+        assert len(counted) and hit.all(), n
+
+
+def test_recall_equals_brute_force_under_substitutions(spark):
+    rng = random.Random(14)
+    cases = []
+    for k in range(120):
+        item = prose(rng, rng.choice([5, 8, 13, 15, 20, 30, 50, 60])).split()
+        if k % 3:
+            words = substituted(rng, item, rng.choice([0.1, 0.15, 0.2, 0.25]))
+        else:
+            phase = rng.randrange(5)
+            words = [f"other{i}" if i % 5 == phase else w for i, w in enumerate(item)]
+        cases.append((k, prose(rng, 3).split() + words + prose(rng, 3).split(), item))
+    docs = frame(spark, [(k, " ".join(words)) for k, words, _ in cases])
+    bench = spark.createDataFrame([(k, " ".join(item), "x") for k, _, item in cases], BENCH)
+    got = {r.doc_id for r in decontaminate.overlaps(docs, bench).collect() if r.doc_id == r.item_id}
+    expected = {k for k, words, item in cases if qualifying(words, item)}
+    assert got == expected and 40 < len(expected) < 120
+
+
 def test_longest_stretch_equals_brute_force():
     rng, rules = random.Random(13), decontaminate.Rules()
     for _ in range(400):
