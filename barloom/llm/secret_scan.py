@@ -2,8 +2,8 @@
 
 Three patterns find assignments, access keys and hex runs. Beyond them, runs of base64 or hex are decoded and parsed,
 and reported only where the bytes have the structure of a secret: a DER private key whose nested lengths fit, an
-OpenSSH key with its length-prefixed fields, a PEM block around either, or a signed token whose header and payload are
-JSON objects.
+OpenSSH key with its length-prefixed fields, a PEM block around either or around an encrypted key, with or without
+header lines and escaped line breaks, or a signed token whose header and payload are JSON objects.
 """
 
 from __future__ import annotations
@@ -29,8 +29,15 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9]+ )*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END ([A-Z0-9]+ )*PRIVATE KEY-----")
-SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----([^-]*(?:-(?!----)[^-]*)*)-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+BREAK = re.compile(r"(?<!\\)\\+[nrt]")  # line breaks as JSON and .env files write them
+SLASH = re.compile(r"(?<!\\)\\+/")
+ENCRYPTED = re.compile(r"\s*Proc-Type:\s*4,\s*ENCRYPTED\s+DEK-Info:\s*([A-Za-z0-9-]+),\s*((?:[0-9A-Fa-f]{2})+)\s")
+HEADERS = re.compile(r"\s*(?:[A-Za-z][A-Za-z0-9-]*:[^\n\r]*[\n\r]\s*)*")
+SIGNED = re.compile(
+    r"(?<![A-Za-z0-9_-])(?<![A-Za-z0-9_-]\.)([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)"
+    r"(?![A-Za-z0-9_-]|\.[A-Za-z0-9_-])"
+)
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 HEX_RUN = re.compile(r"(?:[0-9a-fA-F]{2}){32,}")
 SSH_MAGIC = b"openssh-key-v1\0"
@@ -65,7 +72,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
     spans += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m.group()) >= 18]
     spans += [("hex", *m.span()) for m in HEX.finditer(text) if len(m.group()) >= 16] if _has_hex(text) else []
     if "PRIVATE KEY-----" in text:
-        spans += [("pem", *m.span()) for m in PEM.finditer(text) if key_kind(_base64(re.sub(r"\s", "", m.group(2))))]
+        spans += [("pem", *m.span()) for m in PEM.finditer(text) if is_pem_body(m.group(1))]
     spans += [("token", *m.span()) for m in SIGNED.finditer(text) if is_signed_token(*m.groups())]
     for run, decode in ((BASE64_RUN, _base64), (HEX_RUN, _unhex)):
         for m in run.finditer(text):
@@ -161,6 +168,22 @@ def _is_ssh_key(raw: bytes) -> bool:
     return at == len(raw)
 
 
+def is_pem_body(body: str) -> bool:
+    """Whether the text between the marks of a PEM block is a private key, after header lines if there are any.
+
+    Line breaks may be escaped. Under the headers of an encrypted key the bytes have no structure of their own; they
+    must be whole blocks of the cipher, whose size the length of its initial vector tells, where it works in blocks.
+    """
+    body = SLASH.sub("/", BREAK.sub("\n", body))
+    encrypted = ENCRYPTED.match(body)
+    rest = body[HEADERS.match(body, encrypted.end() if encrypted else 0).end() :]
+    raw = _base64(re.sub(r"\s", "", rest))
+    if not encrypted:
+        return key_kind(raw) is not None
+    block = len(encrypted.group(2)) // 2 if encrypted.group(1).upper().endswith("-CBC") else 1
+    return bool(raw) and len(raw) % block == 0
+
+
 def is_signed_token(header: str, payload: str, signature: str) -> bool:
     """Whether the segments are a JSON header that names its algorithm, a JSON payload and a fitting signature."""
     if not header.startswith("ey"):

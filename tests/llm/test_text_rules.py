@@ -127,6 +127,37 @@ def test_tokens_and_blocks():
     assert secret_scan.find(block.replace(body, "bm90IGEga2V5")) == []
 
 
+@pytest.mark.parametrize("before, after", [("see ", "."), ("see ", ". Then"), ("see ", "..."), ("(", ".)"), ("see ...", " ok"), ("", ".\n")])
+def test_tokens_beside_full_stops(before, after):
+    assert secret_scan.find(before + TOKEN + after) == [("token", len(before), len(before) + len(TOKEN))]
+    assert secret_scan._without(before + TOKEN + after, "[secret]") == f"{before}[secret]{after}"
+
+
+def test_tokens_of_other_numbers_of_segments():
+    assert secret_scan.find(f"{TOKEN}.c2ln") == secret_scan.find(f"ab.{TOKEN}") == secret_scan.find(f"{TOKEN}.c2ln.") == []
+
+
+HEADED = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F1E2D3C4B5A69788796A5B4C3D2E1F0\n\n"
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n"])
+@pytest.mark.parametrize("headers, raw, found", [
+    ("", RSA, True), ("", WRAPPED, True), ("", SSH, True), ("", PUBLIC, False), ("", RSA[:-3], False),
+    ("Comment: some key\n\n", RSA, True), ("Comment: some key\n\n", RNG.randbytes(320), False),
+    (HEADED, RNG.randbytes(320), True), (HEADED, RNG.randbytes(321), False), (HEADED, b"", False),
+])
+def test_blocks_with_headers_and_escaped_breaks(newline, headers, raw, found):
+    body = "\n".join(re.findall(".{1,64}", base64.b64encode(raw).decode()))
+    block = f"-----BEGIN RSA PRIVATE KEY-----\n{headers}{body}\n-----END RSA PRIVATE KEY-----".replace("\n", newline)
+    text = f'{{"key": "{block}", "n": 1}}'
+    at = text.index(block)
+    assert [s for s in secret_scan.find(text) if s[0] == "pem"] == ([("pem", at, at + len(block))] if found else [])
+    if found:
+        assert secret_scan._without(text, "[secret]") == '{"key": "[secret]", "n": 1}'
+        two = f"-----BEGIN PRIVATE KEY----- is how it begins. {text} {text}"
+        assert sum(s[0] == "pem" for s in secret_scan.find(two)) == 2
+
+
 def base_spans(text):
     """The base rules, straight from their statement."""
     out = []
