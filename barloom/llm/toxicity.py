@@ -31,10 +31,13 @@ SEPARATORS = r"[\x20\x09-\x0D]+"
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds of the fit. At most ``rows_per_class`` labelled rows of each class are used, chosen by hash of doc_id."""
+    """Bounds of the fit. At most ``rows_per_class`` labelled rows of each class are used, chosen by hash of doc_id.
+
+    A dictionary holds the best strings that fit into its bytes; a string that does not fit is passed over.
+    """
 
     rows_per_class: int = 6000
-    toxic_bytes: int = 4096
+    toxic_bytes: int = 110_000
     common_bytes: int = 110_000
     least_evidence: float = 8.0
     least_ratio: float = 3.0
@@ -170,10 +173,11 @@ def _dictionaries(strings: DataFrame, sizes: dict, left_out: int | None, trainin
     )
     marked = scored.where((F.col("ratio") > training.least_ratio) & (F.col("evidence") >= training.least_evidence))
     shared = scored.where((F.col("ratio") <= training.least_ratio) & (F.col("n") > 0))
-    return tuple(
-        _content([r[0] for r in frame.orderBy(F.desc(key), "string").limit(training.candidates).collect()], most)
+    ranked = [
+        (frame.where(F.octet_length("string") < most).orderBy(F.desc(key), "string").limit(training.candidates), most)
         for frame, key, most in ((shared, "n", training.common_bytes), (marked, "evidence", training.toxic_bytes))
-    )
+    ]
+    return tuple(_content([r[0] for r in frame.collect()], most) for frame, most in ranked)
 
 
 def _content(ranked: list[str], most: int) -> bytes:
@@ -182,7 +186,7 @@ def _content(ranked: list[str], most: int) -> bytes:
     for string in ranked:
         raw = b" " + string.encode()
         if size + len(raw) > most:
-            break
+            continue
         size += len(raw)
         out.append(raw)
     return b"".join(reversed(out))

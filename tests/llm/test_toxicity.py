@@ -78,3 +78,25 @@ def test_empty_table(spark, fitted):
     frame, marks = frames(spark, [], [])
     assert toxicity.score(frame, fitted[3]).count() == 0
     assert toxicity.score(frame, toxicity.fit(frame, marks)).count() == 0
+
+
+def test_a_string_that_does_not_fit_is_passed_over():
+    assert toxicity._content(["x" * 50, "rare", "y" * 30, "word"], 20) == b" word rare"
+
+
+def test_many_toxic_words_are_learned(spark):
+    rng = random.Random(3)
+    bad = ["zq" + "".join(rng.choices("bcfghjkvw", k=7)) for _ in range(700)]
+    docs, labels = corpus(400, seed=5)
+    for i, (d, text) in enumerate(docs):
+        if labels[i][1]:
+            docs[i] = (d, " ".join([text, "w" * 5000, *rng.sample(bad, 60)]))
+    model = toxicity.fit(*frames(spark, docs, labels))
+    learned = set(model.toxic.decode().split())
+    counts = {w: 0 for w in bad}
+    for (d, text), (_, t) in zip(docs, labels):
+        if t and zlib.crc32(str(d).encode()) % 5:
+            for w in set(text.split()) & counts.keys():
+                counts[w] += 1
+    frequent = {w for w, n in counts.items() if n >= 4}
+    assert len(frequent) > 500 and frequent <= learned and "w" * 5000 in learned
