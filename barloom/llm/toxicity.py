@@ -1,8 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text. Both hold the strings common to all
-text, so that ordinary words compress alike; the toxic one also holds the strings that toxic documents have far more
-often. Every window of a text is compressed with each, and the bytes the toxic dictionary saves are its distance. A
+Two zstandard dictionaries are word lists ranked by document counts and log-odds of labelled text. Both hold the strings
+common to all text, so that ordinary words compress alike; the toxic one also holds the strings that toxic documents
+have far more often. Every window of a text is compressed with each, and the bytes the toxic dictionary saves are its distance. A
 window is one word in a fixed frame: the frame puts the compressor into the same mode for words of any length, and no
 word hides behind its neighbours. Thresholds on the distances of a document are calibrated by logistic regression on
 documents that the dictionaries were not trained on.
