@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontaminate, minhash, packing, quality, secret_scan, shards, substring, token_files, toxicity, urls
+from barloom.llm import conversations, decontaminate, language, lloyd, minhash, packing, quality, secret_scan, shards, substring, token_files, toxicity, urls
 from barloom.llm.oracle import oracle_sql  # noqa: F401
 from barloom.sources.staging import work_path
 
@@ -79,6 +79,21 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_rank_order(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    found = language.predict(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op12_sharded_lloyd(spark: SparkSession, folder: str) -> DataFrame:
+    return lloyd.with_inertia(*lloyd.cluster(spark.read.parquet(f"{folder}/embeddings.parquet")))
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/conversations.parquet")
+    return conversations.digests(conversations.damage(rows), rows)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_level_doubling": op1_level_doubling,
@@ -91,4 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_spaced_seeds": op9_spaced_seeds,
         "op10_toxicity": op10_toxicity,
+        "op11_rank_order": op11_rank_order,
+        "op12_sharded_lloyd": op12_sharded_lloyd,
+        "op13_turn_repair": op13_turn_repair,
     }

@@ -81,5 +81,29 @@ SELECT page_id, paged.host, path, rule, '/' || branch || tail AS template, share
 FROM paged JOIN branched USING (host, pattern) JOIN judged USING (host, branch, tail)"""
 
 
+def _lloyd(clusters: int = 16, rounds: int = 3) -> str:
+    """Rounds unrolled: distances, nearest centroid, floor of the mean in whole numbers."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near_{r} AS (SELECT row, c AS cluster, distance FROM (SELECT row, c, sum((x - y) * (x - y)) AS distance FROM parts JOIN centre_{r} USING (dim) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, c) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+sum_{r} AS (SELECT cluster AS c, dim, sum(x) AS s, count(*) AS n FROM parts JOIN near_{r} USING (row) GROUP BY ALL),
+centre_{r + 1} AS (SELECT c, dim, CASE WHEN n IS NULL THEN y ELSE (s - ((s % n) + n) % n) // n END AS y FROM centre_{r} LEFT JOIN sum_{r} USING (c, dim))""")
+    return f"""
+WITH kept AS (SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+parts AS MATERIALIZED (SELECT row, unnest(range(1, 65)) AS dim, unnest(v) AS x FROM kept),
+start AS (SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS c FROM kept QUALIFY c < {clusters}),
+centre_0 AS (SELECT c, unnest(range(1, 65)) AS dim, unnest(v) AS y FROM start),{",".join(steps)},
+inertias AS (SELECT cluster, sum(distance) AS s FROM near_{rounds} GROUP BY ALL),
+hashes AS (SELECT c AS cluster, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM centre_{rounds} GROUP BY ALL)
+SELECT vec_id, CAST(cluster AS INT) AS cluster, CAST(distance AS BIGINT) AS distance, CAST(s AS BIGINT) AS cluster_inertia,
+  CAST((SELECT sum(s) FROM inertias) AS BIGINT) AS inertia, centroid_sha256
+FROM kept JOIN near_{rounds} USING (row) JOIN inertias USING (cluster) JOIN hashes USING (cluster)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_path_templates": PATH_TEMPLATES}
+    return {"op6_path_templates": PATH_TEMPLATES, "op12_sharded_lloyd": _lloyd()}

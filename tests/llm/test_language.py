@@ -1,0 +1,110 @@
+import zlib
+from collections import Counter
+
+import pytest
+
+from barloom.llm import entries, language
+from barloom.llm.language import Settings
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score int, distance string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "s", 1, 2, "d") for r in rows], SCHEMA)
+
+
+def plain_grams(text, longest=3):
+    words, word = [], ""
+    for c in text.lower() + " ":
+        if c.isalpha():
+            word += c
+        elif word:
+            words.append(word)
+            word = ""
+    out = Counter()
+    for word in words:
+        framed = f" {word} "
+        for n in range(1, longest + 1):
+            out.update(framed[i : i + n] for i in range(len(framed) - n + 1) if framed[i : i + n] != " ")
+    return out
+
+
+def plain_top(found, length=300):
+    return sorted(found, key=lambda g: (-found[g], sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))))[:length]
+
+
+def learned(doc_id):
+    return doc_id is None or zlib.crc32(str(doc_id).encode()) % 3 != 1
+
+
+def plain(rows, longest=3, length=300):
+    tables = {}
+    for doc_id, text, lang in rows:
+        if learned(doc_id) and lang is not None:
+            tables.setdefault(lang, Counter()).update(plain_grams(text or "", longest))
+    profiles = {k: {g: i for i, g in enumerate(plain_top(v, length))} for k, v in sorted(tables.items()) if v}
+    out = []
+    for doc_id, text, _ in rows:
+        own = plain_top(plain_grams(text or "", longest), length)
+        if not own or not profiles:
+            out.append((doc_id, "und", 0.0, None))
+            continue
+        far = {k: sum(abs(p[g] - i) if g in p else length for i, g in enumerate(own)) for k, p in profiles.items()}
+        best = min(far, key=lambda k: (far[k], k))
+        rest = [d for k, d in far.items() if k != best]
+        limit = min(rest) if rest else length**2
+        out.append((doc_id, best, max(0.0, 1 - far[best] / limit) if limit else 0.0, far[best]))
+    return out
+
+
+def found(spark, rows, **options):
+    docs = frame(spark, rows)
+    return [tuple(r) for r in language.predict(docs, language.fit(docs, Settings(**options))).collect()]
+
+
+def ordered(rows):
+    return sorted(rows, key=str)
+
+
+WORDS = [
+    (1, "The house and the garden of the old man", "en"), (2, "das Haus und der Garten des alten Mannes", "de"), (3, "", "en"),
+    (4, None, "de"), (5, "12 34 !?", "en"), (6, "la maison et le jardin du vieil homme", "fr"), (6, "la maison et le jardin", "fr"),
+    (None, "the unknown and the unnamed", "en"), (7, "das the", None), (8, "İstanbul straße ÇA ﬁn \U0001d400\U0001d401 ça", "tr"),
+    (9, "汉字 漢字 かな", "zh"), (10, "99", "xx"), (11, "a", "en"), (12, "the " * 60_000, "en"), (13, "x" * 200_000, "long"), (14, "it's o'clock", "en"),
+]
+
+
+@pytest.mark.parametrize("longest, length", [(3, 300), (2, 7), (1, 1)])
+def test_against_brute_force(spark, longest, length):
+    assert ordered(found(spark, WORDS, longest=longest, length=length)) == ordered(plain(WORDS, longest, length))
+
+
+def test_grams_of_any_text_are_the_plain_ones():
+    for _, text, _ in WORDS:
+        want = plain_grams(text or "")
+        got = Counter()
+        for piece in language._pieces(text or ""):
+            got.update(language.grams(piece, 3).tolist())
+        assert got == {sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g)): n for g, n in want.items()}
+
+
+def test_without_languages_and_empty(spark):
+    assert found(spark, [(1, "text", None)]) == [(1, "und", 0.0, None)]
+    assert found(spark, []) == []
+
+
+def test_too_many_languages_are_refused(spark):
+    with pytest.raises(ValueError, match="languages"):
+        found(spark, [(None, "abc", "a"), (None, "bcd", "b"), (None, "xyz", "c")], most_languages=2, length=2)
+
+
+def test_whole_table_and_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    got = {r.doc_id: r for r in entries.op11_rank_order(spark, folder).collect()}
+    want = plain(rows)
+    assert len(got) == len(rows)
+    assert all((got[d].lang_pred, got[d].score) == (lang, score) for d, lang, score, _ in want)
+    true = {d: lang for d, _, lang in rows if not learned(d)}
+    assert all(got[d].held_out == (d in true) for d in got)
+    assert sum(got[d].lang_pred == lang for d, lang in true.items()) >= 0.97 * len(true)
