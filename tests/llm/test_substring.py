@@ -54,3 +54,26 @@ def test_levels_double_up_to_the_window():
 def test_no_candidate_and_empty_table(spark):
     assert run(spark, [(1, "a b c"), (2, None)], Settings()) == [(False, 1, 3, 0, "a b c"), (False, 2, 0, 0, "")]
     assert deduplicate(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rows_without_doc_id_do_not_depend_on_the_partitions(spark):
+    rng = random.Random(11)
+    passage = " ".join(f"w{rng.randrange(99)}" for _ in range(60))
+    rows = [(None, f"{i} {passage} end{i}") for i in range(6)] + [(2**63 - 1, f"last {passage}"), (3, None), (None, None), (None, "")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    for n in (2, 3, 13):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(run(spark, rows, Settings()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+    kept = [r for r in found[0] if r[2] > 60]
+    assert [r[3] for r in kept if not r[0]] == [0] and all(r[3] == 60 for r in kept if r[0])
+
+
+def test_texts_longer_than_a_slice(spark):
+    rng = random.Random(12)
+    passage = " ".join(f"p{rng.randrange(99)}" for _ in range(40))
+    long = " ".join(str(rng.randrange(10**6)) for _ in range(200_000)) + " " + passage
+    rows = [(1, long), (2, passage), (3, long)]
+    assert run(spark, rows, Settings()) == brute(rows, 20)
