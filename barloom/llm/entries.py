@@ -33,7 +33,8 @@ def op1_level_doubling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge(_documents(spark, folder))
+    docs = _documents(spark, folder)
+    return quality.judge(docs, quality.fit(docs))
 
 
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -42,6 +42,10 @@ class Settings:
     block: int = 512
 
 
+#: Contents with more than this part of all copies are joined without a shuffle.
+HOT_SHARE = 4096
+
+
 def content_key(text: Column) -> Column:
     """128 bits of a text; NULL counts as the empty one."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
@@ -72,9 +76,11 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         texts.mapInArrow(partial(_columns, settings), "doc_id long, columns array<int>").dropDuplicates(["doc_id"]), "shingles"
     )
     roots = _link(buckets, columns, settings)
-    known = full.groupBy("content_key").agg(F.min("doc_id").alias("node"))
-    named = known.join(roots, "node", "left").select("content_key", F.coalesce("root", "node").alias("class_id"))
-    out = signed.withColumn("worded", F.col("bands").isNotNull()).join(named, "content_key", "left")
+    known = full.groupBy("content_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
+    named, named_path = write_shared(
+        known.join(roots, "node", "left").select("content_key", "copies", F.coalesce("root", "node").alias("class_id")), "classes"
+    )
+    out = _spread_join(signed.withColumn("worded", F.col("bands").isNotNull()), named)
     linked = F.col("worded") & F.col("doc_id").isNotNull()
     class_id = F.when(linked, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")
     result = out.select("doc_id", "content_key", class_id)
@@ -83,22 +89,29 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return result
 
 
+def _spread_join(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows with the class of their content; copies of one text do not meet in one task.
+
+    Contents that hold more than 1 / ``HOT_SHARE`` of all copies, so fewer than ``HOT_SHARE`` contents, are looked up
+    in a broadcast table where their rows lie; only the rows of all others are shuffled.
+    """
+    least = named.agg((F.sum("copies") / HOT_SHARE).alias("least")).scalar()
+    hot = F.broadcast(named.where(F.col("copies") > least).select("content_key", "class_id"))
+    rare = named.where(F.col("copies") <= least).select("content_key", "class_id")
+    spread = rows.join(hot, "content_key")
+    return spread.unionByName(rows.join(hot, "content_key", "left_anti").join(rare, "content_key", "left"))
+
+
 def keep(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One document of each class, all columns as they were: the row whose doc_id names the class.
 
-    Of repeated rows (equal doc_id and text) one stays. Rows without doc_id stay.
+    Of repeated rows (equal doc_id and text) one stays. Rows without doc_id stay. Columns of any name pass through.
     """
-    named = docs.columns
-    chosen = (
-        classes(docs, settings)
-        .where("doc_id = class_id")
-        .select(F.col("doc_id").alias("kept_id"), F.col("content_key").alias("kept_key"))
-        .distinct()
-    )
-    keyed = docs.withColumn("kept_row_key", content_key(F.col("text")))
-    joined = keyed.join(chosen, (keyed["doc_id"] == chosen["kept_id"]) & (keyed["kept_row_key"] == chosen["kept_key"]))
-    once = joined.dropDuplicates(["doc_id", "kept_row_key"])
-    return once.select(*named).unionByName(docs.where("doc_id is null"))
+    chosen = classes(docs, settings).where("doc_id = class_id").select("doc_id", "content_key").distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.where("doc_id is not null").select("doc_id", content_key(F.col("text")).alias("content_key"), row)
+    once = rows.join(chosen, ["doc_id", "content_key"], "left_semi").dropDuplicates(["doc_id", "content_key"])
+    return once.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def _shared_buckets(nodes: DataFrame) -> DataFrame:

@@ -3,18 +3,25 @@
 A text that repeats itself compresses too well, random characters hardly at all. The zstandard ratio (compressed bytes
 per byte) of the whole text and of each fixed chunk must lie in a band that depends on the length compressed, since
 short texts carry their frame and have little to refer back to.
+
+General bands catch gross cases only. ``fit`` draws closer ones from the corpus itself: for each class of lengths, a
+quarter of a doubling wide, the quartiles of the ratios of all different texts (and of their chunks) and limits some
+spreads beyond them. Ratios are counted in steps of a thousandth, so the limits do not depend on how rows lie.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from barloom.llm import words as W
 
@@ -70,6 +77,104 @@ class Rules:
     level: int = 3
 
 
+@dataclass(frozen=True)
+class Fit:
+    """How far limits lie from the quartiles, in spreads between them, a spread counting as ``least_spread`` at least.
+
+    Ratios fall with length. So a class of fewer than ``least_texts`` different texts and chunks takes its least ratio
+    from the next longer class that has enough and its greatest from the next shorter one, and where there is none
+    keeps the general limit.
+    """
+
+    below: float = 2.0
+    above: float = 4.0
+    least_spread: float = 0.012
+    least_texts: int = 50
+    steps: int = 1000
+    per_doubling: int = 4
+
+
+def fit(docs: DataFrame, rules: Rules = Rules(), how: Fit = Fit()) -> Rules:
+    """Rules whose bands follow the ratios of all texts that pass the base rules; equal texts count once.
+
+    The driver gets one row per class of lengths and step of the ratio, about a hundred classes of some thousand steps
+    whatever the corpus. Where no class has enough texts the bands stay as they are; a fitted band is never wider than
+    the given one.
+    """
+    found = docs.select("text").mapInArrow(partial(_ratios, rules, how), "class int, step int, key long").distinct()
+    steps: dict[int, list[tuple[int, int]]] = {}
+    for row in found.groupBy("class", "step").agg(F.count("*").alias("n")).collect():
+        steps.setdefault(row["class"], []).append((row["step"], row["n"]))
+    limits = {}
+    for number, counts in steps.items():
+        counts.sort()
+        total = sum(n for _, n in counts)
+        if total < how.least_texts:
+            continue
+        low, high = (_quantile(counts, total, share) / how.steps for share in (0.25, 0.75))
+        spread = max(high - low, how.least_spread)
+        limits[number] = (round(low - how.below * spread, 6), round(high + how.above * spread, 6))
+    if not limits:
+        return rules
+    bands = []
+    classes = range(min(steps), max(steps) + 2)
+    starts = {math.ceil(2 ** (number / how.per_doubling)): number for number in classes}
+    starts |= {start: classes[-1] for start, _, _ in rules.bands if start > max(starts)}
+    for start, number in starts.items():
+        low, high = band(rules, start)
+        longer = [limits[k][0] for k in sorted(limits) if k >= number]
+        lower = [limits[k][1] for k in sorted(limits) if k <= number]
+        bands.append((start, max([low, *longer[:1]]), min([high, *lower[-1:]])))
+    shorter = [b for b in rules.bands if b[0] < bands[0][0]]
+    return replace(rules, bands=(*shorter, *bands))
+
+
+def _quantile(counts: list[tuple[int, int]], total: int, share: float) -> int:
+    at, seen = share * (total - 1), 0
+    for step, n in counts:
+        seen += n
+        if seen > at:
+            return step
+    return counts[-1][0]
+
+
+def _ratios(rules: Rules, how: Fit, batches) -> Iterator[pa.RecordBatch]:
+    """Length class and ratio of every whole text and chunk that the bands will judge, with a key of the bytes."""
+    compressor = _compressor(rules)
+    for batch in batches:
+        for part in W.slices(batch.column(0)):
+            counts = _counts(part)
+            text, bounds = part.data.tobytes(), part.offsets
+            rows = []
+            for i in range(len(bounds) - 1):
+                own = text[bounds[i] : bounds[i + 1]]
+                if not own or _base_failed(rules, counts[0][i], counts[4][i]):
+                    continue
+                pieces = [own, *_chunks(rules, own)]
+                for piece in pieces:
+                    key = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little", signed=True)
+                    ratio = len(compressor.compress(piece)) / len(piece)
+                    rows.append((int(how.per_doubling * math.log2(len(piece))), int(ratio * how.steps), key))
+            columns = list(zip(*rows)) if rows else [[], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.int64()))], names=["class", "step", "key"]
+            )
+
+
+def _compressor(rules: Rules):
+    return zstandard.ZstdCompressor(level=rules.level, write_checksum=False, write_content_size=False)
+
+
+def _chunks(rules: Rules, text: bytes) -> list[bytes]:
+    if len(text) <= rules.chunk_bytes:
+        return []
+    return [text[at : at + rules.chunk_bytes] for at in range(0, len(text), rules.chunk_bytes)]
+
+
+def _base_failed(rules: Rules, n_words: int, n_repeat: int) -> bool:
+    return bool(n_words < rules.least_words or 100 * n_repeat > rules.repeat_percent * n_words)
+
+
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Counts, ratios and verdict of every whole text: one row per input row.
 
@@ -90,7 +195,7 @@ def band(rules: Rules, length: int) -> tuple[float, float]:
 
 
 def _judge(rules: Rules, batches) -> Iterator[pa.RecordBatch]:
-    compressor = zstandard.ZstdCompressor(level=rules.level, write_checksum=False, write_content_size=False)
+    compressor = _compressor(rules)
     for batch in batches:
         doc_ids = batch.column(0)
         for part in W.slices(batch.column(1)):
@@ -149,16 +254,14 @@ def _verdict(rules: Rules, compressor, text: bytes, n_words: int, n_repeat: int)
         return None, 0, 0, 0, "words", True, False
     whole = len(compressor.compress(text)) / len(text)
     chunks = low_chunks = high_chunks = 0
-    if len(text) > rules.chunk_bytes:
-        for at in range(0, len(text), rules.chunk_bytes):
-            piece = text[at : at + rules.chunk_bytes]
-            ratio = len(compressor.compress(piece)) / len(piece)
-            low, high = band(rules, len(piece))
-            chunks += 1
-            low_chunks += ratio < low
-            high_chunks += ratio > high
+    for piece in _chunks(rules, text):
+        ratio = len(compressor.compress(piece)) / len(piece)
+        low, high = band(rules, len(piece))
+        chunks += 1
+        low_chunks += ratio < low
+        high_chunks += ratio > high
     low, high = band(rules, len(text))
-    base_failed = bool(n_words < rules.least_words or 100 * n_repeat > rules.repeat_percent * n_words)
+    base_failed = _base_failed(rules, n_words, n_repeat)
     if base_failed:
         reason = "words" if n_words < rules.least_words else "repeats"
     elif whole < low:

@@ -80,6 +80,25 @@ def test_keep_leaves_one_row_of_each_class(spark):
     assert set(k for k in kept if k is not None) == expected and kept.count(None) == 2
 
 
+def test_keep_passes_columns_of_any_name(spark):
+    rows = corpus(4)
+    names = ["kept_id", "kept_key", "kept_row_key", "content_key", "row", "class_id", "copies", "a b", "key"]
+    extra = [f"{n}-{i}" for i, n in enumerate(names)]
+    frame = spark.createDataFrame([(*r, *extra) for r in rows], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    got = minhash.keep(frame)
+    assert got.columns == frame.columns
+    kept = got.collect()
+    assert {tuple(r)[2:] for r in kept} == {tuple(extra)}
+    assert {r.doc_id for r in kept} - {None} == {c for none, _, c in brute(rows) if not none}
+
+
+def test_many_copies_of_one_text_are_classed_without_meeting(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, text) for i in range(1, 400)] + [(1000 + i, f"other text number {i} stands here alone today") for i in range(30)] + [(None, text)]
+    got = minhash.classes(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.class_id) for r in got) == [(n, d, c) for n, d, c in brute(rows)]
+
+
 def test_agreement_estimates_weighted_similarity():
     rng = random.Random(7)
     for _ in range(6):

@@ -67,7 +67,7 @@ def fits(rows, capacity):
 def test_packing_places_every_piece(spark, open_bins):
     path = entries.tokenizer()
     whole = Tokenizer.from_file(path)
-    rows = [(i, "word " * (i * 7 % 23), "x") for i in range(60)] + ROWS
+    rows = [(1000 + i, "word " * (i * 7 % 23), "x") for i in range(60)] + ROWS
     got = packing.pack(spark.createDataFrame(rows, SCHEMA), path, capacity=16, open_bins=open_bins).collect()
     fits(got, 16)
     pieces = {}
@@ -91,6 +91,25 @@ def test_best_fit_takes_the_tightest_bin_and_closes_the_fullest():
     assert bins.count == 0
 
 
+@given(st.integers(1, 40), st.integers(1, 6), st.lists(st.integers(1, 40), max_size=80))
+def test_bins_equal_a_plain_list(capacity, most, lengths):
+    """The tightest open bin, of equal ones the one longest at that space; beyond ``most`` the fullest closes."""
+    bins, opened, free = packing.OpenBins(capacity, most), 0, []
+    for length in (min(n, capacity) for n in lengths):
+        fitting = [f for f in free if f[1] >= length]
+        if fitting:
+            number, space = chosen = min(fitting, key=lambda f: f[1])
+            free.remove(chosen)
+        else:
+            if len(free) >= most:
+                free.remove(min(free, key=lambda f: f[1]))
+            number, space = opened, capacity
+            opened += 1
+        if space > length:
+            free.append((number, space - length))
+        assert bins.place(length) == (number, capacity - space)
+
+
 def test_packing_of_an_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA), entries.tokenizer()).count() == 0
 
