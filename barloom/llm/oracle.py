@@ -64,11 +64,11 @@ common AS (SELECT host, tail AS common FROM tails QUALIFY row_number() OVER (PAR
 kinds AS (SELECT host, head, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked,
     sum(CASE WHEN tail = common THEN n ELSE 0 END) AS n_common, sum(labelled) >= 3 AS known
   FROM tree JOIN common USING (host) GROUP BY host, head),
-largest AS (SELECT host, known, head AS r_head, n AS r_n, labelled AS r_labelled, blocked AS r_blocked, n_common AS r_common
-  FROM kinds QUALIFY row_number() OVER (PARTITION BY host, known ORDER BY n DESC, head DESC) = 1),
+largest AS (SELECT host, known AS r_known, head AS r_head, n AS r_n, labelled AS r_labelled, blocked AS r_blocked, n_common AS r_common
+  FROM kinds QUALIFY row_number() OVER (PARTITION BY host ORDER BY known DESC, n DESC, head DESC) = 1),
 merged AS (SELECT host, head, CASE WHEN {_alike("n_common", "n", "r_common", "r_n")}
-    AND (NOT known OR {_alike("blocked", "labelled", "r_blocked", "r_labelled")}) THEN r_head ELSE head END AS branch
-  FROM kinds JOIN largest USING (host, known)),
+    AND (NOT known OR NOT r_known OR {_alike("blocked", "labelled", "r_blocked", "r_labelled")}) THEN r_head ELSE head END AS branch
+  FROM kinds JOIN largest USING (host)),
 branched AS (SELECT tree.*, branch FROM tree JOIN merged USING (host, head)),
 overall AS (SELECT sum(blocked)::DOUBLE / greatest(sum(labelled), 1) AS share FROM tree),
 by_host AS (SELECT host, (sum(blocked) + 5.0::DOUBLE * any_value(overall.share)) / (sum(labelled) + 5.0::DOUBLE) AS host_share
@@ -77,6 +77,7 @@ templates AS (SELECT host, branch, tail, sum(labelled) AS labelled, sum(blocked)
 judged AS (SELECT host, branch, tail, labelled, round((blocked + 5.0::DOUBLE * host_share) / (labelled + 5.0::DOUBLE), 6) AS share
   FROM templates JOIN by_host USING (host))
 SELECT page_id, paged.host, path, rule, '/' || branch || tail AS template, share,
+  CASE WHEN share >= 0.8 AND judged.labelled >= 3 THEN 'block' ELSE 'allow' END AS template_verdict,
   coalesce(verdict_, CASE WHEN share >= 0.8 AND judged.labelled >= 3 THEN 'block' ELSE 'allow' END) AS verdict
 FROM paged JOIN branched USING (host, pattern) JOIN judged USING (host, branch, tail)"""
 
@@ -105,5 +106,79 @@ SELECT vec_id, CAST(cluster AS INT) AS cluster, CAST(distance AS BIGINT) AS dist
 FROM kept JOIN near_{rounds} USING (row) JOIN inertias USING (cluster) JOIN hashes USING (cluster)"""
 
 
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text, eight shifts a byte."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    byte = "list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, i: xor(y >> 1, 3988292384 * (y & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda crc, b: {byte}), 4294967295)"
+
+
+# States: 0 nothing yet, 1 system, 2 user, 3 assistant. Forward search, all insertions before a row at once.
+TURN_REPAIR = rf"""
+WITH RECURSIVE named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS damage FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE damage WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM named WHERE damage <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+    regexp_replace(text, '[ 	-
+]', '', 'g') AS dense FROM damaged),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed),
+turns AS MATERIALIZED (SELECT conv_id, i, turn, role, text, substr(role, 1, 1) AS initial,
+    CASE WHEN dense = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(dense, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM seen),
+insertions(q, q2, paid, names, lines) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 5, 'I', chr(10) || 'user:'), (1, 2, 5, 'I', chr(10) || 'user:'), (2, 3, 5, 'I', chr(10) || 'assistant:'), (3, 2, 5, 'I', chr(10) || 'user:'),
+  (0, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+edits(q2, q3, edit, initial, role2) AS (VALUES (0, 0, 'D', NULL, NULL), (1, 1, 'D', NULL, NULL), (2, 2, 'D', NULL, NULL), (3, 3, 'D', NULL, NULL),
+  (0, 1, 'K', 's', NULL), (0, 2, 'K', 'u', NULL), (1, 2, 'K', 'u', NULL), (3, 2, 'K', 'u', NULL), (2, 3, 'K', 'a', NULL),
+  (0, 2, 'R', NULL, 'user'), (1, 2, 'R', NULL, 'user'), (3, 2, 'R', NULL, 'user'), (2, 3, 'R', NULL, 'assistant')),
+found AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0::BIGINT, 'audit': '', 'body': ''}} AS best FROM conversations
+  UNION ALL
+  SELECT conv_id, i, q, min(option) FROM (
+    SELECT f.conv_id, t.i, q3 AS q, {{'cost': best.cost + paid + CASE edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+        + CASE WHEN fault = 'truncated' AND edit <> 'D' THEN 5 ELSE 0 END,
+      'audit': best.audit || names || edit,
+      'body': best.body || lines || CASE edit WHEN 'D' THEN '' ELSE chr(10) || coalesce(role2, role) || ':' || text END}} AS option
+    FROM found f JOIN turns t ON t.conv_id IS NOT DISTINCT FROM f.conv_id AND t.i = f.i + 1 JOIN insertions n ON n.q = f.q
+      JOIN edits e ON e.q2 = n.q2 AND (e.initial IS NULL OR e.initial = t.initial) AND (edit = 'D' OR fault IS NULL OR fault = 'truncated'))
+  GROUP BY ALL),
+ends AS (SELECT f.conv_id, min({{'cost': best.cost + paid, 'audit': best.audit || names, 'body': best.body || lines}}) AS best
+  FROM found f JOIN insertions n USING (q) JOIN (SELECT conv_id, max(i) AS i FROM found GROUP BY ALL) m
+    ON m.conv_id IS NOT DISTINCT FROM f.conv_id AND m.i = f.i WHERE q2 IN (0, 3) GROUP BY ALL),
+pairs AS (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) IS NOT NULL AS follows FROM turns),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (follows AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM pairs GROUP BY ALL)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit, sha256(substr(best.body, 2)) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+# Profiles of 300 n-grams of 1 to 3 letters; shorter n-grams, then smaller code points, come first among equal counts.
+RANK_ORDER = rf"""
+WITH numbered AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, text, lang,
+    coalesce({_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 1, false) AS held FROM documents),
+words AS (SELECT row, word, count(*) AS n FROM (SELECT row, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM numbered) GROUP BY ALL),
+parts AS (SELECT word, g, count(*) AS k FROM (SELECT word, substr(' ' || word || ' ', unnest(range(1, length(word) + 4 - size)), size) AS g
+    FROM (SELECT DISTINCT word FROM words), (VALUES (1), (2), (3)) t(size)) WHERE g <> ' ' GROUP BY ALL),
+grams AS MATERIALIZED (SELECT row, g, sum(n * k) AS c FROM words JOIN parts USING (word) GROUP BY ALL),
+own AS (SELECT row, g, row_number() OVER (PARTITION BY row ORDER BY c DESC, length(g), g) - 1 AS r FROM grams QUALIFY r < 300),
+summed AS (SELECT lang, g, sum(c) AS c FROM grams JOIN numbered USING (row) WHERE NOT held AND lang IS NOT NULL GROUP BY ALL),
+profile AS MATERIALIZED (SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY c DESC, length(g), g) - 1 AS r FROM summed QUALIFY r < 300),
+far AS (SELECT row, l.lang, CAST(sum(coalesce(abs(p.r - o.r), 300)) AS DOUBLE) AS d
+  FROM own o CROSS JOIN (SELECT DISTINCT lang FROM profile) l LEFT JOIN profile p ON p.lang = l.lang AND p.g = o.g GROUP BY ALL),
+best AS (SELECT row, lang, d, coalesce(lead(d) OVER (PARTITION BY row ORDER BY d, lang), 90000::DOUBLE) AS further
+  FROM far QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, lang) = 1)
+SELECT doc_id, held AS held_out, coalesce(best.lang, 'und') AS lang_pred,
+  CASE WHEN further > 0 THEN greatest(0::DOUBLE, 1 - d / further) ELSE 0::DOUBLE END AS score
+FROM numbered LEFT JOIN best USING (row)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_path_templates": PATH_TEMPLATES, "op12_sharded_lloyd": _lloyd()}
+    return {
+        "op6_path_templates": PATH_TEMPLATES,
+        "op11_rank_order": RANK_ORDER,
+        "op12_sharded_lloyd": _lloyd(),
+        "op13_turn_repair": TURN_REPAIR,
+    }

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.tokenizer import word_ids
+from barloom.llm.tokenizer import content, word_ids
 
 OPEN_BINS = 512
 TASK_BYTES = 32 << 20
@@ -91,7 +91,7 @@ def pack(
     texts = docs.select("doc_id", "text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = texts.coalesce(max(1, -(-size // task_bytes)))
-    return tasks.mapInArrow(partial(_pack, tokenizer, capacity, separator, open_bins), SPARK_SCHEMA)
+    return tasks.mapInArrow(partial(_pack, content(tokenizer), capacity, separator, open_bins), SPARK_SCHEMA)
 
 
 def _pack(tokenizer: str, capacity: int, separator: int, open_bins: int, batches) -> Iterator[pa.RecordBatch]:

@@ -1,15 +1,16 @@
 """Token ids in fixed-width bit-packed blocks.
 
 Every id takes the same number of bits, the fewest that hold the vocabulary, so id i of a block starts at bit
-``i * bits``. A block is one row of a Parquet table: its range of documents, the offsets of their ids in the block,
-the number of ids before it, and the packed bytes. Readers find a document or a position by those columns and unpack
-with numpy.
+``i * bits``. A block is one row of a Parquet table: its least and greatest document, the offsets of their ids in the
+block, the number of ids before it, and the packed bytes. ``lookup`` and ``span`` find a document or a range of
+positions by those columns, which Parquet's own statistics skip by, and unpack the wanted ids alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +18,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.tokenizer import vocabulary_size, word_ids
+from barloom.llm.tokenizer import content, vocabulary_size, word_ids
 
 BLOCK_IDS = 1 << 16
-BLOCK_SCHEMA = "part int, block int, first long, n_ids long, bits int, doc_ids array<long>, offsets array<long>, packed binary"
+ROW_GROUP_BYTES = 8 << 20
+DOCUMENT_SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
+BLOCK_SCHEMA = "part int, block int, first long, n_ids long, bits int, low_doc long, high_doc long, doc_ids array<long>, offsets array<long>, packed binary"
 
 
 def bits_for(vocabulary: int) -> int:
@@ -62,8 +65,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, block_ids
     """
     bits = bits_for(max(vocabulary_size(tokenizer), end_id + 1))
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    blocks = ordered.mapInArrow(partial(_blocks, tokenizer, end_id, bits, block_ids), BLOCK_SCHEMA)
-    blocks.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    blocks = ordered.mapInArrow(partial(_blocks, content(tokenizer), end_id, bits, block_ids), BLOCK_SCHEMA)
+    # A page a block, so that a reader of one block does not fetch its neighbours.
+    pages = {"compression": "zstd", "parquet.page.row.count.limit": "1", "parquet.block.size": str(ROW_GROUP_BYTES)}
+    blocks.write.mode("overwrite").options(**pages).parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -72,18 +77,62 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     ``first`` counts within a part. The parts are the ranges of the writing job, so their totals stay a small table.
     """
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
-    totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("total"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("part_start"))
+    starts = _part_starts(blocks)
     joined = blocks.join(F.broadcast(starts), "part")
     return joined.withColumn("start", F.col("part_start") + F.col("first")).drop("part_start")
 
 
+def _part_starts(blocks: DataFrame) -> DataFrame:
+    totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("total"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("part_start"))
+
+
+def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """The documents of some ids, as ``documents`` gives them but without ``start``: only blocks around them are read.
+
+    Repeated ids give every row of theirs; an id that is not there gives none. Documents without an id have no place
+    to look up.
+    """
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
+    near = [(F.col("low_doc") <= d) & (F.col("high_doc") >= d) for d in sorted(set(doc_ids))]
+    here = blocks.where(reduce(or_, near, F.lit(False)))
+    wanted = frozenset(doc_ids)
+    found = here.select(F.lit(0).cast("long").alias("start"), "bits", "doc_ids", "offsets", "packed")
+    return found.mapInArrow(partial(_documents, wanted), DOCUMENT_SCHEMA).drop("start")
+
+
+def span(spark: SparkSession, path: str, start: int, stop: int) -> DataFrame:
+    """Ids ``start`` to ``stop`` of the whole table: rows of (start, ids), to be read in order of start.
+
+    The totals of the parts tell which parts and blocks hold the range; no other block is read. Positions outside the
+    table give nothing.
+    """
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
+    parts = _part_starts(blocks).collect()
+    near = []
+    for r in parts:
+        a, b = start - r["part_start"], stop - r["part_start"]
+        near.append((F.col("part") == r["part"]) & (F.col("first") < b) & (F.col("first") + F.col("n_ids") > a))
+    here = blocks.where(reduce(or_, near, F.lit(False))) if start < stop else blocks.limit(0)
+    known = {r["part"]: r["part_start"] for r in parts}
+    return here.select("part", "first", "n_ids", "bits", "packed").mapInArrow(partial(_span, known, start, stop), "start long, ids binary")
+
+
+def _span(known: dict[int, int], start: int, stop: int, batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for row in batch.to_pylist():
+            at = known[row["part"]] + row["first"]
+            low, high = max(start, at), min(stop, at + row["n_ids"])
+            rows.append((low, unpack(row["packed"], row["bits"], low - at, high - at).tobytes()))
+        columns = list(zip(*rows)) if rows else [[], []]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], names=["start", "ids"])
+
+
 def documents(blocks: DataFrame) -> DataFrame:
     """Unpack blocks of ``read``: per document doc_id, start, n_tokens and its ids as little-endian unsigned 32 bits."""
-    return blocks.select("start", "bits", "doc_ids", "offsets", "packed").mapInArrow(
-        _documents, "doc_id long, start long, n_tokens long, ids binary"
-    )
+    return blocks.select("start", "bits", "doc_ids", "offsets", "packed").mapInArrow(partial(_documents, None), DOCUMENT_SCHEMA)
 
 
 def digests(blocks: DataFrame) -> DataFrame:
@@ -101,11 +150,13 @@ def _blocks(tokenizer: str, end_id: int, bits: int, block_ids: int, batches) ->
     def close() -> pa.RecordBatch:
         nonlocal block, before, doc_ids, chunks, offsets
         ids = np.frombuffer(b"".join(chunks), "<u4")
-        row = (part, block, before, len(ids), bits, doc_ids, offsets, pack(ids, bits))
+        named = [d for d in doc_ids if d is not None]
+        ends = (named[0], named[-1]) if named else (None, None)
+        row = (part, block, before, len(ids), bits, *ends, doc_ids, offsets, pack(ids, bits))
         block, before, doc_ids, chunks, offsets = block + 1, before + len(ids), [], [], [0]
         return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=names)
 
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
     names = [column.split()[0] for column in BLOCK_SCHEMA.split(", ")]
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -118,16 +169,21 @@ def _blocks(tokenizer: str, end_id: int, bits: int, block_ids: int, batches) ->
         yield close()
 
 
-def _documents(batches) -> Iterator[pa.RecordBatch]:
+def _documents(wanted: frozenset | None, batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            offsets = row["offsets"]
-            ids = unpack(row["packed"], row["bits"], 0, offsets[-1]).tobytes()
+            places = [
+                (d, a, b) for d, a, b in zip(row["doc_ids"], row["offsets"], row["offsets"][1:]) if wanted is None or d in wanted
+            ]
+            if not places:
+                continue
+            low = places[0][1]
+            ids = unpack(row["packed"], row["bits"], low, places[-1][2]).tobytes()
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                    "start": pa.array([row["start"] + x for x in offsets[:-1]], pa.int64()),
-                    "n_tokens": pa.array(np.diff(offsets), pa.int64()),
-                    "ids": pa.array([ids[4 * a : 4 * b] for a, b in zip(offsets, offsets[1:])], pa.binary()),
+                    "doc_id": pa.array([d for d, _, _ in places], pa.int64()),
+                    "start": pa.array([row["start"] + a for _, a, _ in places], pa.int64()),
+                    "n_tokens": pa.array([b - a for _, a, b in places], pa.int64()),
+                    "ids": pa.array([ids[4 * (a - low) : 4 * (b - low)] for _, a, b in places], pa.binary()),
                 }
             )

@@ -3,32 +3,63 @@
 This holds for a vocabulary that lower-cases, drops white space before merging and splits letters from punctuation: the
 ids of a text are then those of its pieces between spaces and line feeds, one after the other, and those of a word
 with trailing marks are the word's and the marks'. Words repeat, so each worker remembers ids; a full memory is
-emptied, which costs time and changes nothing.
+emptied, which costs time and changes nothing. The file's own rules say whether this holds; texts of any other
+tokenizer are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 from functools import cache
+from pathlib import Path
 
 from tokenizers import Tokenizer
 
-REMEMBER = 600_000
+REMEMBER = 500_000
 MARKS = b".,;:!?"
 
+# The rules of a tokenizer whose ids can be put together from those of words.
+LOWER_CASE = ["NFC", "Replace", "Lowercase"]
+WHITE_SPACE = {"Regex": r"\s+"}
+PIECES = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+
+
+def by_words(tokenizer: Tokenizer) -> bool:
+    """Whether the tokenizer lower-cases, drops white space, splits letters from the rest and merges within pieces."""
+
+    def rules(part) -> dict:
+        return json.loads(part.__getstate__()) if part else {}
+
+    normal, split = rules(tokenizer.normalizer), rules(tokenizer.pre_tokenizer)
+    steps = normal.get("normalizers", [])
+    first, second = [*split.get("pretokenizers", []), {}, {}][:2]
+    return (
+        [s["type"] for s in steps] == LOWER_CASE
+        and (steps[1]["pattern"], steps[1]["content"]) == (WHITE_SPACE, " ")
+        and len(split.get("pretokenizers", [])) == 2
+        and (first.get("pattern"), first.get("behavior"), first.get("invert")) == (PIECES, "Removed", True)
+        and (second.get("type"), second.get("add_prefix_space"), second.get("use_regex")) == ("ByteLevel", False, False)
+        and type(tokenizer.model).__name__ == "BPE"
+        and not tokenizer.model.dropout
+    )
+
 
 class WordIds:
     """Ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, remember: int = REMEMBER):
+    def __init__(self, content: str, remember: int = REMEMBER):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(content)
         self.model = self.tokenizer.model
+        self.by_words = by_words(self.tokenizer)
         self.remember = remember
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
+        if not self.by_words:
+            return _little(self.tokenizer.encode(text or "", add_special_tokens=False).ids)
         parts = (text or "").encode().lower().replace(b"\n", b" ").split(b" ")
         known = self.known
         missing = set(parts).difference(known)
@@ -66,10 +97,15 @@ def _little(ids) -> bytes:
     return array("I", ids).tobytes()
 
 
+def content(path: str) -> str:
+    """The tokenizer file, read on the driver: tasks get its content, so no executor needs the file."""
+    return Path(path).read_text(encoding="utf-8")
+
+
 @cache
-def word_ids(path: str) -> WordIds:
+def word_ids(content: str) -> WordIds:
     """One encoder for each worker process."""
-    return WordIds(path)
+    return WordIds(content)
 
 
 @cache

@@ -32,10 +32,11 @@ VARIABLE = r"^([0-9]+|[0-9a-f]{8,}|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-
 class Settings:
     """Templates have ``depth`` segments; deeper ones end in ``**``.
 
-    A place in the tree varies if it has ``many`` values and fewer than ``mean_pages`` pages a value. A branch merges
-    into the host's largest of its kind where the tests on their shares of the commonest tail and of blocked pages
-    stay below ``z``. Shares are smoothed with ``weight`` pages of the level above. A template is rejected from
-    ``reject`` on, with at least ``least_labelled`` labelled pages of its own.
+    A place in the tree varies if it has ``many`` values and fewer than ``mean_pages`` pages a value. Branches of a host
+    are compared with its largest one that has ``least_labelled`` labelled pages, or its largest where none has. One
+    merges into it where the test on their shares of the commonest tail stays below ``z`` and, if both have enough
+    labelled pages, that on their shares of blocked ones does too. Shares are smoothed with ``weight`` pages of the
+    level above. A merged template is rejected from ``reject`` on, with at least ``least_labelled`` labelled pages.
     """
 
     depth: int = 3
@@ -63,27 +64,31 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def judge(pages: DataFrame, settings: Settings = Settings(), rules=RULES) -> DataFrame:
-    """One row per page: page_id, host, path, rule, template, share and verdict.
+def judge(pages: DataFrame, settings: Settings = Settings(), rules=RULES, taught: Column | None = None) -> DataFrame:
+    """One row per page: page_id, host, path, rule, template, share, template_verdict and verdict.
 
-    ``share`` is the smoothed share of blocked pages of the page's merged template. A NULL or unparsable url has an
+    ``share`` is the smoothed share of blocked pages of the page's merged template, ``template_verdict`` what follows
+    from it, whatever the rules say of the page itself. Where ``taught`` is given, only ruled pages for which it holds
+    count as labelled. A NULL or unparsable url has an
     empty host and path and the template of no segment. Repeated pages count as often as they come; other columns are
     ignored; an empty input gives no row.
     """
     host, path = parts(F.col("url"))
-    split = pages.select("page_id", host.alias("host"), path.alias("path"))
+    split = pages.select("page_id", host.alias("host"), path.alias("path"), *([] if taught is None else [taught.alias("taught")]))
     fit = split.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
     ruled = fit.select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("ruled"),
         _pattern(F.col("path"), settings.depth).alias("pattern"),
+        F.when(F.lit(True) if taught is None else F.col("taught"), F.col("fit.verdict")).alias("label"),
     )
     patterns = ruled.groupBy("host", "pattern").agg(
-        F.count("*").alias("n"), F.count("ruled").alias("labelled"),
-        F.count_if(F.col("ruled") == "block").alias("blocked"),
+        F.count("*").alias("n"), F.count("label").alias("labelled"),
+        F.count_if(F.col("label") == "block").alias("blocked"),
     )
     verdicts = _templates(_generalised(_written(patterns), settings), settings)
     return ruled.join(verdicts, ["host", "pattern"], "left").select(
         "page_id", "host", "path", "rule", "template", "share",
+        F.when(F.col("rejected"), "block").otherwise("allow").alias("template_verdict"),
         F.coalesce("ruled", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"),
     )
 
@@ -131,13 +136,11 @@ def _templates(tree: DataFrame, settings: Settings) -> DataFrame:
     counted = tree.join(common, "host").withColumn("n_common", F.when(F.col("tail") == F.col("common"), F.col("n")).otherwise(0))
     branches = counted.groupBy("host", "head").agg(*sums, F.sum("n_common").alias("n_common"))
     kinds = _written(branches.withColumn("known", F.col("labelled") >= settings.least_labelled))
-    largest = kinds.groupBy("host", "known").agg(
-        F.max(F.struct("n", "head", "labelled", "blocked", "n_common")).alias("r")
-    )
+    largest = kinds.groupBy("host").agg(F.max(F.struct("known", "n", "head", "labelled", "blocked", "n_common")).alias("r"))
     alike = _alike("n_common", "n", "r.n_common", "r.n", settings.z) & (
-        ~F.col("known") | _alike("blocked", "labelled", "r.blocked", "r.labelled", settings.z)
+        ~F.col("known") | ~F.col("r.known") | _alike("blocked", "labelled", "r.blocked", "r.labelled", settings.z)
     )
-    merged = kinds.join(largest, ["host", "known"]).select(
+    merged = kinds.join(largest, "host").select(
         "host", "head", F.when(alike, F.col("r.head")).otherwise(F.col("head")).alias("branch")
     )
     named = _written(tree.join(merged, ["host", "head"]).drop("n"))

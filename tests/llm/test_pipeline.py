@@ -67,3 +67,25 @@ def test_everything_left_is_packed(spark, steps):
     assert set(lengths) == {r.doc_id for r in steps[4].collect()}
     run = corpus_pipeline.run(spark, FOLDER).select("doc_id", "piece", "start", "length", "ids")
     assert sorted(map(tuple, run.collect())) == sorted(map(tuple, steps[5].select(*run.columns).collect()))
+
+
+NAMES = ["content_key", "class_id", "row", "score", "kept_id", "key", "labels", "a b"]
+ODD = [
+    (1, "plain words of a first short text", None), (1, "plain words of a first short text", "x"), (None, "a text without an id", "y"),
+    (None, None, None), (2, None, "x"), (3, "", "x"), (4, " \n\t", None), (5, "word " * 60_000, "y"), (6, "password: hunter2hunter2 AKIA" + "Z" * 20, None),
+]
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_odd_and_empty_tables_pass_every_stage(spark, tmp_path, rows):
+    """NULLs in every column, repeated rows, empty and long texts, no rows at all, columns of names the stages use."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in NAMES)
+    docs = spark.createDataFrame([(d, t, x, x, None, *[x] * len(NAMES)) for d, t, x in rows], schema)
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, FOLDER)
+        if i < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == docs.columns, name
+        out.write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+    packed = [(r.doc_id, r.length) for r in docs.collect()]
+    assert {d for d, _ in packed} == ({1, 2, 3, 4, 5, 6, None} if rows else set())

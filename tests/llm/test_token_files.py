@@ -6,7 +6,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from barloom.llm import entries, packing, token_files
+from barloom.llm import entries, packing, token_files, tokenizer
 
 SCHEMA = "doc_id long, text string, part string"
 
@@ -50,6 +50,53 @@ def test_empty_table(spark, tmp_path):
     assert token_files.digests(token_files.read(spark, f"{tmp_path}/t")).count() == 0
 
 
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Documents 0, 2, 4, ... in many small blocks, and the ids of the whole table."""
+    path = f"{tmp_path_factory.mktemp('tokens')}/t"
+    rows = [(2 * i, f"document {i} " + "some words " * (i % 7), "x") for i in range(300)] + [(40, "again", "x"), (None, "no id", "x")]
+    token_files.write(spark.createDataFrame(rows, SCHEMA).repartition(3), path, entries.tokenizer(), block_ids=50)
+    whole = token_files.documents(token_files.read(spark, path)).orderBy("start").collect()
+    return path, whole
+
+
+def test_lookup_of_documents(spark, stored):
+    path, whole = stored
+    for wanted in ([0], [598], [40], [2, 300, 302, 444], [1, 10**9], []):
+        got = token_files.lookup(spark, path, wanted).collect()
+        want = [(r.doc_id, r.n_tokens, bytes(r.ids)) for r in whole if r.doc_id in wanted]
+        assert sorted((r.doc_id, r.n_tokens, bytes(r.ids)) for r in got) == sorted(want)
+
+
+def test_lookup_of_one_document_reads_the_blocks_around_it(spark, stored):
+    path, _ = stored
+    found = token_files.lookup(spark, path, [300])
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert "LessThanOrEqual(low_doc,300)" in plan and "GreaterThanOrEqual(high_doc,300)" in plan
+    blocks = spark.read.schema(token_files.BLOCK_SCHEMA).parquet(path)
+    assert blocks.count() > 30 and blocks.where("low_doc <= 300 and high_doc >= 300").count() <= 2
+
+
+def test_spans_of_positions(spark, stored):
+    path, whole = stored
+    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in whole])
+    for start, stop in ((0, 1), (0, len(ids)), (49, 53), (777, 1555), (len(ids) - 1, len(ids) + 9), (5, 5), (len(ids), len(ids) + 4)):
+        rows = sorted(token_files.span(spark, path, start, stop).collect())
+        got = np.concatenate([np.frombuffer(r.ids, "<u4") for r in rows]) if rows else np.empty(0)
+        assert got.tolist() == ids[start:stop].tolist()
+        assert [r.start for r in rows[1:]] == [r.start + len(r.ids) // 4 for r in rows[:-1]]
+
+
+def test_a_tokenizer_with_other_rules_encodes_whole_texts(spark, tmp_path):
+    path = entries.tokenizer().replace("word_bpe_49k", "byte_bpe_50k")
+    whole = Tokenizer.from_file(path)
+    texts = ["Two  spaces\nand Case", " leading", "", None, "x" * 5000, "\u00e9\u0301 \u4f60"]
+    token_files.write(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA), f"{tmp_path}/t", path)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_files.documents(token_files.read(spark, f"{tmp_path}/t")).collect()}
+    assert got == {i: [*whole.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    assert tokenizer.by_words(Tokenizer.from_file(entries.tokenizer())) and not tokenizer.by_words(whole)
+
+
 def fits(rows, capacity):
     by = {}
     for r in rows:

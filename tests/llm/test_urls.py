@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.llm import urls
 from barloom.llm.urls import Settings
@@ -75,6 +76,29 @@ def test_similar_branches_merge_and_unlike_ones_do_not(spark):
     assert got[100].template == "/other/*/page" and got[100].verdict == "allow"
 
 
+def test_unlabelled_branches_follow_the_labelled_one_they_resemble(spark):
+    """Branches of one shape share labels, one of another shape stands alone; mixed labels reject nothing."""
+    rows = [(i, f"http://s.org/{b}/{i}.html") for i, b in enumerate(["bad", "new", "newer"] * 30)]
+    rows += [(100 + i, f"http://s.org/other/{i}/page") for i in range(30)]
+    got = judged(spark, rows, rules=(("block", "s.org/bad/"),))
+    assert {got[i].verdict for i in range(90)} == {"block"} and {got[100 + i].verdict for i in range(30)} == {"allow"}
+    assert sum(got[i].rule is None for i in range(90)) == 60 and len({got[i].template for i in range(90)}) == 1
+    rows += [(200 + i, f"http://s.org/good/{i}.html") for i in range(29)]
+    got = judged(spark, rows, rules=(("block", "s.org/bad/"), ("allow", "s.org/good/")))
+    assert got[200].template != got[0].template and got[200].verdict == "allow" and got[1].verdict == "block"
+
+
+def test_hidden_labels_are_foretold(spark):
+    """A tenth of the ruled pages teach nothing; the templates tell what the rules say of them."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    hidden = F.crc32(F.col("page_id").cast("string")) % 10 == 0
+    got = urls.judge(pages, taught=~hidden).join(pages.select("page_id", hidden.alias("hidden")), "page_id")
+    rows = got.where("hidden and rule is not null").groupBy("template_verdict", "verdict").count().collect()
+    n = {(r.template_verdict, r.verdict): r["count"] for r in rows}
+    right, said = n.get(("block", "block"), 0), sum(v for (t, _), v in n.items() if t == "block")
+    assert said and right / said >= 0.95 and right / sum(v for (_, r), v in n.items() if r == "block") >= 0.5
+
+
 def test_repeats_extra_columns_and_empty(spark):
     rows = [(1, "http://s.org/a/1"), (1, "http://s.org/a/1"), (None, "http://s.org/a/2")]
     frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from barloom.llm import entries, words
-from barloom.llm.tokenizer import WordIds
+from barloom.llm.tokenizer import WordIds, content
 
 TEXTS = [None, "", " \n\t", "a", "a b  c\x0bd\fe", "naïve x ünïcode", "one two one two one two", "　x y", "z" * 5000]
 
@@ -54,7 +54,7 @@ def test_full_starts_stay_within_documents():
 @pytest.mark.parametrize("remember", [3, 1000])
 def test_word_ids_equal_whole_text_ids(remember):
     path = entries.tokenizer()
-    whole, coder = Tokenizer.from_file(path), WordIds(path, remember)
+    whole, coder = Tokenizer.from_file(path), WordIds(content(path), remember)
     texts = ["It's <|endoftext|> THE.,.. \t\x0b 　Élan ΣΑΣ İ é a'LL 12,3 ﬁ", "don't, I'm!!! 'S", "a.b. c?!x", "x" * 300]
     for text in [*texts, *[t for t in TEXTS if t]]:
         ids = np.frombuffer(coder.encode(text), "<u4").tolist()
