@@ -39,9 +39,26 @@ class FeatureConfig:
     correlation_threshold: float = 0.95
 
 
+@dataclass(frozen=True)
+class SamplerConfig:
+    """Sequential search: even draws at the start, then the best of ``candidates`` draws from the good trials.
+
+    Good are ``good_share`` of the trials, at most ``most_good``; ``prior`` is the weight of an even trial.
+    """
+
+    startup: int = 5
+    candidates: int = 24
+    good_share: float = 0.1
+    most_good: int = 25
+    prior: float = 1.0
+
+
 @dataclass(frozen=True)
 class TuningConfig:
-    """``max_values`` and ``sample_fraction`` shrink a search on request; ``fold_kind`` is ``random`` or ``time``."""
+    """``method`` is ``spark_cv``, ``random`` or ``sequential``; ``fold_kind`` is ``random`` or ``time``.
+
+    ``max_values`` and ``sample_fraction`` shrink a search on request.
+    """
 
     enabled: bool = False
     method: str = "spark_cv"
@@ -53,14 +70,27 @@ class TuningConfig:
     fold_kind: str = "random"
     parallelism: int = 4
     seed: int = 42
+    sampler: SamplerConfig = SamplerConfig()
     ranges: dict[str, list[Any]] = field(default_factory=lambda: dict(GBT_RANGES))
 
 
+@dataclass(frozen=True)
+class StoppingConfig:
+    """Early stopping: the last ``share`` of each entity's training rows judge every tree. A share of 0 turns it off.
+
+    Boosting ends when the error on them falls by less than ``tolerance`` of itself, or grows.
+    """
+
+    share: float = 0.0
+    tolerance: float = 0.001
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     features: FeatureConfig = FeatureConfig()
     tuning: TuningConfig = field(default_factory=TuningConfig)
     gbt: dict[str, Any] = field(default_factory=lambda: dict(DEFAULT_GBT))
+    stopping: StoppingConfig = StoppingConfig()
     train_ratio: float = 0.85
     sequence_length: int = 50
     model_name: str = "panel_gbt"

@@ -28,6 +28,7 @@ from barloom.sources.shared import write_shared
 
 ROWS_PER_TASK = 4_000_000
 MAX_HOT = 100_000
+SAMPLE_A_PIECE = 64
 
 PIECE = "_piece"
 COPY = "_copy"
@@ -36,11 +37,16 @@ _RANK = "_rank"
 
 @dataclass(frozen=True)
 class Layout:
-    """Row total and, for each over-long entity, the times (microseconds) at which its history is cut."""
+    """Row total and, for each over-long entity, the times (microseconds) at which its history is cut.
+
+    ``bursts`` holds second cuts: for an entity and one of its times (None: no time) that more bars share than a task
+    takes, the values of the tie columns at which these bars are cut.
+    """
 
     rows: int
     rows_per_task: int = ROWS_PER_TASK
     cuts: tuple[tuple[str | None, tuple[int, ...]], ...] = ()
+    bursts: tuple[tuple[str | None, int | None, tuple[tuple, ...]], ...] = ()
 
     @property
     def fits_one_task(self) -> bool:
@@ -69,8 +75,10 @@ def measure(
 
     One job when nothing is over-long. The limit is raised so that at most ``MAX_HOT``
     entities can exceed it: fewer than total / limit entities can hold more than limit rows.
+    Where ``keys`` names tie columns, bars of one time are cut as well; bars equal in all of them stay together.
     """
-    base = df.select(F.col(keys.entity).cast("string").alias("entity"), clock(df, keys.time).alias("at"))
+    tied = F.struct(*[F.col(c) for c in keys.ties]).alias("tied") if keys.ties else F.lit(None).alias("tied")
+    base = df.select(F.col(keys.entity).cast("string").alias("entity"), clock(df, keys.time).alias("at"), tied)
     per_entity = base.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
     total, longest = per_entity.agg(F.sum("n"), F.max("n")).first()
     total = total or 0
@@ -78,7 +86,36 @@ def measure(
         return Layout(total, rows_per_task)
     limit = max(rows_per_task, total // MAX_HOT)
     hot = {r.entity: -(-r.n // limit) for r in per_entity.filter(F.col("n") > limit).collect()}
-    return Layout(total, rows_per_task, _cut_times(base, hot))
+    cuts = dict(_cut_times(base, hot))
+    bursts = _burst_cuts(base, list(hot), limit) if keys.ties else ()
+    for entity, at, _ in bursts:
+        if at is not None:
+            cuts[entity] = tuple(sorted({*cuts[entity], at - 1, at}))
+    return Layout(total, rows_per_task, tuple(sorted(cuts.items(), key=_by_name)), bursts)
+
+
+def _by_name(row: tuple) -> tuple[bool, str]:
+    return row[0] is not None, row[0] or ""
+
+
+def _burst_cuts(base: DataFrame, hot: list[str | None], limit: int) -> tuple[tuple[str | None, int | None, tuple[tuple, ...]], ...]:
+    """Tie values that cut the bars of one time into pieces of about ``limit``.
+
+    They come from a sample by hash, a fixed number of bars a piece, and set the balance only. Fewer than total / limit
+    times can hold more bars than the limit, and each brings as many cuts as it has pieces.
+    """
+    names = F.broadcast(base.sparkSession.createDataFrame([(e,) for e in hot], "hot string"))
+    rows = base.join(names, F.col("entity").eqNullSafe(F.col("hot"))).drop("hot")
+    crowded = rows.groupBy("entity", "at").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    crowded = F.broadcast(crowded.select(F.col("entity").alias("_e"), F.col("at").alias("_t"), F.ceil(F.col("n") / limit).alias("pieces")))
+    same = F.col("entity").eqNullSafe(F.col("_e")) & F.col("at").eqNullSafe(F.col("_t"))
+    held = rows.join(crowded, same).select("entity", "at", "tied", "pieces").distinct()
+    by_hash = Window.partitionBy("entity", "at").orderBy(F.xxhash64("tied"), "tied")
+    sample = held.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= SAMPLE_A_PIECE * F.col("pieces"))
+    ordered = sample.groupBy("entity", "at").agg(F.array_sort(F.collect_list("tied")).alias("s"), F.first("pieces").alias("pieces"))
+    place = F.transform(F.sequence(F.lit(1), F.col("pieces") - 1), lambda k: F.col("s")[(k * F.size("s") / F.col("pieces")).cast("int")])
+    found = ordered.select("entity", "at", F.array_distinct(place).alias("cuts")).collect()
+    return tuple(sorted(((r.entity, r["at"], tuple(map(tuple, r.cuts))) for r in found), key=lambda b: (*_by_name(b), b[1] is not None, b[1] or 0)))
 
 
 def _cut_times(base: DataFrame, pieces: dict[str | None, int]) -> tuple[tuple[str | None, tuple[int, ...]], ...]:
@@ -94,7 +131,7 @@ def _cut_times(base: DataFrame, pieces: dict[str | None, int]) -> tuple[tuple[st
         sketch = F.percentile_approx("at", shares, max(10_000, 20 * n))
         rows = base.join(names, F.col("entity").eqNullSafe(F.col("hot"))).groupBy("entity").agg(sketch.alias("cuts"))
         out += [(r.entity, tuple(sorted({*(r.cuts or [])}))) for r in rows.collect()]
-    return tuple(sorted(out, key=lambda e: (e[0] is not None, e[0] or "")))
+    return tuple(sorted(out, key=_by_name))
 
 
 def _hot_rows(df: DataFrame, layout: Layout, keys: Keys, hot: bool) -> DataFrame:
@@ -103,8 +140,20 @@ def _hot_rows(df: DataFrame, layout: Layout, keys: Keys, hot: bool) -> DataFrame
     same = F.col(keys.entity).cast("string").eqNullSafe(F.col("_hot"))
     if not hot:
         return df.join(table, same, "left_anti")
-    piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c < clock(df, keys.time))), F.lit(0))
-    return df.join(table, same).withColumn(PIECE, piece).drop("_hot", "_cuts")
+    at = clock(df, keys.time)
+    whole = F.when(at.isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c < at)) + 1).cast("long")
+    rows = df.join(table, same).withColumn(PIECE, whole * F.lit(1 << 32)).drop("_cuts")
+    if not layout.bursts:
+        return rows.drop("_hot")
+    ties = T.StructType([df.schema[c] for c in keys.ties])
+    schema = T.StructType([
+        T.StructField("_burst", T.StringType()), T.StructField("_at", T.LongType()), T.StructField("_ties", T.ArrayType(ties)),
+    ])
+    second = F.broadcast(df.sparkSession.createDataFrame([(e, t, list(c)) for e, t, c in layout.bursts], schema))
+    tied = F.struct(*[F.col(c) for c in keys.ties])
+    part = F.coalesce(F.size(F.filter("_ties", lambda c: c < tied)), F.lit(0))
+    crowded = F.col("_hot").eqNullSafe(F.col("_burst")) & at.eqNullSafe(F.col("_at"))
+    return rows.join(second, crowded, "left").withColumn(PIECE, F.col(PIECE) + part).drop("_hot", "_burst", "_at", "_ties")
 
 
 def _pieces(hot: DataFrame, group: list[str]) -> DataFrame:

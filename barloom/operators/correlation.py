@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: A spread below this share of the raw second moment is rounding, not variation.
+FLAT = 1e-13
 SCHEMA = "i int, j int, feature_a string, feature_b string, r double"
 
 
@@ -26,17 +32,44 @@ def correlation(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def pairwise_correlation(df: DataFrame, names: list[str]) -> DataFrame:
-    """The same for a few columns that may hold NULLs: each pair uses its complete rows."""
-    pairs = [(i, j) for i in range(len(names)) for j in range(len(names)) if i < j]
-    complete = [
-        F.corr(names[i], names[j]).alias(f"r_{i}_{j}") for i, j in pairs
+    """The same for columns that may hold NULLs: every pair i < j uses the rows where both are known.
+
+    A row becomes the vector of its values (0 where NULL), its marks (1 where known) and its squares. The product of
+    that matrix with itself holds, for every pair at once, the count, both sums, both sums of squares and the sum of
+    products over the pair's own rows. It is added up in one pass by tree aggregation and has (3 k)^2 cells whatever
+    the number of rows. Values are shifted by their column's mean and divided by its spread first, so that sums of
+    large values do not swallow small differences. A pair with fewer than two rows, or one whose values do not vary
+    over its rows, has a NULL correlation. An empty frame has NULLs only. Stage a computed frame first: it is read twice.
+    """
+    k = len(names)
+    centred = df.select([F.col(n).cast("double").alias(n) for n in names])
+    moments = [f(n).alias(f"{p}{i}") for p, f in (("m", F.avg), ("s", F.stddev_pop)) for i, n in enumerate(names)]
+    first = centred.agg(F.count(F.lit(1)).alias("rows"), *moments).first()
+    shift, spread = ([first[f"{p}{i}"] for i in range(k)] for p in "ms")
+    values = [
+        (F.col(n) - F.lit(shift[i] or 0.0)) / F.lit(spread[i] or 1.0) for i, n in enumerate(names)
     ]
-    wide = df.agg(*complete)
-    cells = ", ".join(
-        f"{i}, {j}, '{names[i]}', '{names[j]}', r_{i}_{j}" for i, j in pairs
-    )
-    upper = wide.selectExpr(f"stack({len(pairs)}, {cells}) AS (i, j, feature_a, feature_b, r)")
-    return upper
+    zero = F.lit(0.0)
+    row = [
+        *[F.coalesce(v, zero) for v in values],
+        *[F.col(n).isNotNull().cast("double") for n in names],
+        *[F.coalesce(v * v, zero) for v in values],
+    ]
+    vectors = centred.select(array_to_vector(F.array(*row)).alias("_v"))
+    gram = np.zeros((3 * k, 3 * k)) if not first["rows"] else RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "_v")).computeGramianMatrix().toArray()
+    x, m, q = (slice(at * k, (at + 1) * k) for at in range(3))
+    n, sums, squares, products = gram[m, m], gram[x, m], gram[q, m], gram[x, x]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        spreads = n * squares - sums**2
+        spreads[spreads <= FLAT * np.maximum(n * squares, 1e-300)] = np.nan
+        r = (n * products - sums * sums.T) / np.sqrt(spreads * spreads.T)
+    r[n < 2] = np.nan
+    cells = [
+        (i, j, names[i], names[j], None if np.isnan(r[i, j]) else float(min(1.0, max(-1.0, r[i, j]))))
+        for i in range(k)
+        for j in range(i + 1, k)
+    ]
+    return df.sparkSession.createDataFrame(cells, SCHEMA)
 
 
 def lower_triangle(corr: DataFrame) -> DataFrame:

@@ -124,19 +124,19 @@ def box_per_entity(
     ``exact_quantiles_of`` and a broadcast of those few rows.
     """
     rows = df.select(keys.entity, value).filter(F.col(value).isNotNull())
-    hot = [name for name, _ in layout.cuts if name is not None] if layout else []
+    hot = [name for name, _ in layout.cuts] if layout else []
     w = Window.partitionBy(keys.entity)
     label = F.col(keys.entity).cast("string")
     few = rows
     if hot:
         names = rows.sparkSession.createDataFrame([(h,) for h in hot], "_hot string")
-        few = rows.join(F.broadcast(names), label == F.col("_hot"), "left_anti")
+        few = rows.join(F.broadcast(names), label.eqNullSafe(F.col("_hot")), "left_anti")
     boxed = few.withColumn("_q", F.percentile(value, QUARTILES).over(w))
     boxed = boxed.groupBy(keys.entity).agg(*_box(keys.entity, value))
     if hot:
         found = exact_quantiles_of(rows, value, QUARTILES, keys.entity, hot)
         table = rows.sparkSession.createDataFrame(list(found.items()), "_hot string, _q array<double>")
-        many = rows.join(F.broadcast(table), label == F.col("_hot"))
+        many = rows.join(F.broadcast(table), label.eqNullSafe(F.col("_hot")))
         boxed = boxed.unionByName(many.groupBy(keys.entity).agg(*_box(keys.entity, value)))
     q = F.col("_q")
     return boxed.select(

@@ -42,14 +42,16 @@ def exact_quantiles_of(
     value: str,
     probabilities: list[float],
     entity: str,
-    hot: list[str],
+    hot: list[str | None],
     accuracy: int = SKETCH_ACCURACY,
-) -> dict[str, list[float]]:
-    """The same for each of the over-long entities in ``hot``."""
+) -> dict[str | None, list[float]]:
+    """The same for each of the over-long entities in ``hot``, the NULL entity among them where it is listed."""
     spark = df.sparkSession
-    wanted = F.broadcast(spark.createDataFrame([(h,) for h in hot], "entity string"))
+    # Names carry a mark in front, so that the empty string is free to stand for NULL in joins.
+    wanted = F.broadcast(spark.createDataFrame([("" if h is None else f"={h}",) for h in hot], "entity string"))
+    name = F.coalesce(F.concat(F.lit("="), F.col(entity).cast("string")), F.lit(""))
     rows = (
-        df.select(F.col(entity).cast("string").alias("entity"), F.col(value).alias("x"))
+        df.select(name.alias("entity"), F.col(value).alias("x"))
         .filter(F.col("x").isNotNull())
         .join(wanted, "entity")
     )
@@ -60,7 +62,8 @@ def exact_quantiles_of(
         return {}
     cuts = spark.createDataFrame([(r.entity, r.cuts) for r in found], "entity string, cuts array<double>")
     placed = _placed(rows.join(F.broadcast(cuts), "entity"))
-    return _select_ranks(placed, {r.entity: r.n for r in found}, probabilities)
+    chosen = _select_ranks(placed, {r.entity: r.n for r in found}, probabilities)
+    return {e[1:] if e else None: q for e, q in chosen.items()}
 
 
 def _placed(rows: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -78,6 +80,38 @@ def model_versions(runs: DataFrame) -> DataFrame:
     )
 
 
+def claim_version(spark: SparkSession, folder: str, name: str, known: int = 0) -> int:
+    """The next version of a model, claimed so that no other run gets it: the first number above ``known`` whose
+    claim file this call creates.
+
+    A claim is a file that must not exist before. The create is atomic on local disks and on HDFS; an object store
+    without a conditional create gives no such promise. A claimed version stays taken when its run fails.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(f"{folder}/claims/{quote(name, safe='')}")
+    files = where.getFileSystem(conf)
+    files.mkdirs(where)
+    taken = [int(s.getPath().getName()) for s in files.listStatus(where)]
+    version = max([known, *taken]) + 1
+    while not _created(jvm, files, jvm.org.apache.hadoop.fs.Path(where, str(version))):
+        version += 1
+    return version
+
+
+def _created(jvm, files, path) -> bool:
+    """Create a file that must not exist yet; Hadoop's local file system checks and creates in two steps, Java's in one."""
+    try:
+        if files.getUri().getScheme() == "file":
+            file = jvm.java.io.File(files.makeQualified(path).toUri().getPath())
+            return bool(file.createNewFile())
+        files.create(path, False).close()
+        return True
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getSimpleName():
+            return False
+        raise
+
+
 def select_latest_run(
     versions: DataFrame, by: list[str] | None = None, name: str | None = None
 ) -> DataFrame:

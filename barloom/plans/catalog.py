@@ -9,24 +9,26 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.config import FeatureConfig, PipelineConfig, TuningConfig
+from barloom.config import FeatureConfig, PipelineConfig, StoppingConfig, TuningConfig
 from barloom.functions.columns import change, ratio_minus_one
 from barloom.functions.layout import over_history
 from barloom.operators import correlation as corr
 from barloom.operators import diagnostics as diag
 from barloom.operators import features as feat
-from barloom.operators import forecast, metrics, model, quality, runs, sampling, scaling, split
+from barloom.operators import forecast, metrics, model, moments, quality, runs, sampling, scaling, split
 from barloom.plans import inference, ingest, training
 from barloom.plans.panels import PANELS, layout_of, load, raw_text
-from barloom.sources import models, tables
+from barloom.schema import SUMMARY_COLUMNS
+from barloom.sources import models, slices, tables
 from barloom.sources.csv_panel import read_panel
-from barloom.sources.staging import stage, work_path
+from barloom.sources.staging import stage_table, work_path, write_shared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,7 +100,7 @@ def parted(spark: SparkSession, folder: str, panel: str = "panel_daily") -> Data
 
 def complete(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
     """Staged complete feature rows, for statistics that take more than one pass."""
-    return stage(cleaned(spark, folder).select(names))
+    return stage_table(cleaned(spark, folder).select(names))
 
 
 def scored(spark: SparkSession, folder: str, panel: str = "panel_daily", part: str = split.TEST) -> DataFrame:
@@ -109,7 +111,7 @@ def scored(spark: SparkSession, folder: str, panel: str = "panel_daily", part: s
 
 def errors(spark: SparkSession, folder: str) -> DataFrame:
     """Residuals on staged test rows, for tables that read them more than once."""
-    return diag.residuals(stage(scored(spark, folder)))
+    return diag.residuals(stage_table(scored(spark, folder)))
 
 
 # Casts, validation, summary
@@ -363,17 +365,33 @@ def scale_train_stats(spark, folder):
     return rounded(scaling.train_stats(parted(spark, folder), feat.model_features()))
 
 
+@query
+def scale_merged_stats(spark, folder):
+    """Scaler figures from moments stored per year of the training rows and merged."""
+    names = feat.feature_names()
+    rows = split.part(parted(spark, folder), split.TRAIN).withColumn("year", F.year("Date"))
+    stored, _ = write_shared(moments.moments(rows, names, ["year"]), "moments")
+    return rounded(moments.stats(moments.merge(stored)))
+
+
+@query
+def describe_merged(spark, folder):
+    """The panel's summary figures from moments stored per symbol and merged."""
+    stored, _ = write_shared(moments.moments(valid(spark, folder), SUMMARY_COLUMNS, ["stock_symbol"]), "moments")
+    return rounded(moments.describe(moments.merge(stored)))
+
+
 @query
 def scaled_features(spark, folder):
     names = feat.model_features()
-    rows = stage(parted(spark, folder).select(*KEY, "split", *names))
+    rows = stage_table(parted(spark, folder).select(*KEY, "split", *names))
     return rounded(scaling.scale_columns(rows, names))
 
 
 @query
 def scaled_vectors(spark, folder):
     names = feat.model_features()
-    rows = stage(parted(spark, folder).select(*KEY, "split", *names))
+    rows = stage_table(parted(spark, folder).select(*KEY, "split", *names))
     vectors, _ = scaling.feature_vectors(rows, names)
     values = vector_to_array("features")
     return rounded(vectors.select(*KEY, "split", *[values[i].alias(n) for i, n in enumerate(names)]))
@@ -398,6 +416,14 @@ def corr_pairwise(spark, folder):
     return rounded(corr.pairwise_correlation(featured(spark, folder), names).drop("i", "j"))
 
 
+@query
+def corr_pairwise_all(spark, folder):
+    """All features before cleaning: each pair over the rows where both are known."""
+    names = feat.feature_names()
+    rows = stage_table(featured(spark, folder).select(names))
+    return rounded(corr.pairwise_correlation(rows, names).drop("i", "j"))
+
+
 @query
 def corr_prune(spark, folder):
     names = feat.feature_names()
@@ -487,7 +513,7 @@ def sampled_fit(spark, folder):
 
 @query
 def per_symbol_ratio(spark, folder):
-    table = metrics.entity_metrics(stage(scored(spark, folder)))
+    table = metrics.entity_metrics(stage_table(scored(spark, folder)))
     return rounded(metrics.relative_to_best(table, ["mae", "mse", "r2"]))
 
 
@@ -495,7 +521,7 @@ def per_symbol_ratio(spark, folder):
 def model_comparison_pivot(spark, folder):
     """Three moving-average predictors compared as models."""
     names = ["close_vs_ma5", "close_vs_ma10", "close_vs_ma20"]
-    rows = stage(split.part(parted(spark, folder), split.TEST).select("target", *names))
+    rows = stage_table(split.part(parted(spark, folder), split.TEST).select("target", *names))
     long = rows.unpivot(["target"], names, "model", "prediction")
     return rounded(metrics.compare_models(metrics.metric_rows(metrics.metrics(long, ["model"]), ["model"])))
 
@@ -615,6 +641,26 @@ def ingest_csv(spark, folder):
     return rounded(ingest.ingest_if_missing(spark, source, table, **options))
 
 
+@query
+def ingest_incremental(spark, folder):
+    """Files of one symbol change between two calls; the second parses these alone and gives the panel of all files."""
+    table = work_path(spark, "panel")
+    source = _as_csv(spark, folder, "panel_hourly")
+    first = bars(spark, folder, "panel_hourly").agg(F.min("stock_symbol")).first()[0]
+    stale = f"{work_path(spark, 'stale')}/csv"
+    text = bars(spark, folder, "panel_hourly").withColumnRenamed("Adj_Close", "Adj close")
+    held = (F.col("stock_symbol") != first) | (F.col("Volume") > 1)
+    text.where(held).repartitionByRange("stock_symbol").write.partitionBy("stock_symbol").option("header", True).csv(stale)
+    options = {"entity_pattern": DIR_NAME, "time_type": "timestamp_ntz", "buckets": 8}
+    ingest.ingest_changed(spark, stale, table, **options)
+    own = f"stock_symbol={first}"
+    fresh = spark.read.option("header", True).csv(f"{source}/{own}")
+    fresh.write.mode("overwrite").option("header", True).csv(f"{stale}/{own}")
+    again = ingest.ingest_changed(spark, stale, table, **options)
+    parsed = F.lit(all(f"/{own}/" in f for f in again.files) and again.entities == 1)
+    return rounded(again.panel.withColumn("one_parsed", parsed))
+
+
 @query
 def table_overwrite(spark, folder):
     """A table overwritten by one with another schema."""
@@ -636,10 +682,42 @@ def table_append(spark, folder):
     return rounded(tables.read_table(spark, path))
 
 
+@query
+def table_append_repeated(spark, folder):
+    """Two runs stored in one table, each of them twice; a repeated run replaces its own rows."""
+    path = work_path(spark, "predictions")
+    for panel in ("panel_daily", "panel_hourly", "panel_daily", "panel_hourly"):
+        records = forecast.latest_predictions(scored(spark, folder, panel))
+        tables.write_run(records.withColumn("run_id", F.lit(panel)), path, panel)
+    daily, hourly = (tables.read_run(spark, path, panel) for panel in ("panel_daily", "panel_hourly"))
+    return rounded(daily.unionByName(hourly))
+
+
+@query
+def table_replace_itself(spark, folder):
+    """A stored panel overwritten by its own first half of columns; the old table is read until the new one is whole."""
+    path = work_path(spark, "panel")
+    tables.write_panel(valid(spark, folder, "panel_hourly"), path)
+    kept = tables.read_table(spark, path).select(*KEY, "Close", "Volume").where(F.col("Volume") > 1)
+    tables.write_panel(kept, path)
+    return rounded(tables.read_table(spark, path))
+
+
+@query
+def slices_newest(spark, folder):
+    """The newest 50 bars of every symbol from a table in slices of time, later rows added in a second write."""
+    path = work_path(spark, "slices")
+    rows = valid(spark, folder)
+    late = F.year("Date") >= 1998
+    slices.write_slices(rows.where(~late), path, rows_per_slice=max(1, rows.count() // 8))
+    slices.write_slices(rows.where(late), path)
+    return rounded(split.latest_n(slices.read_newest(spark, path, 50), 50))
+
+
 @query
 def predictions_export(spark, folder):
     """The three result tables of a run exported as CSV and read back, in one long table."""
-    rows = stage(scored(spark, folder))
+    rows = stage_table(scored(spark, folder))
     per_entity = metrics.entity_metrics(rows)
     fitted, data = _fitted(spark, folder)
     top = model.importance(fitted, data.names, data.frame)
@@ -765,6 +843,36 @@ def random_search(spark, folder):
     return _candidates(model.tune(data.train, cfg, data.layout), data.frame)
 
 
+@query
+def sequential_search(spark, folder):
+    """The default number of trials over the whole default ranges, each chosen by the results of those before."""
+    data = training.training_set(valid(spark, folder, "panel_hourly"), PipelineConfig(), layout_of(spark, folder, "panel_hourly"))
+    cfg = TuningConfig(method="sequential", parallelism=5)
+    found = model.tune(data.train, cfg, data.layout)
+    table = found.table(data.frame)
+    pairs = F.transform(F.split("params", ","), lambda p: F.split(p, "=")[1])
+    known = [F.col("_v")[i].isin([str(v) for v in values]) for i, values in enumerate(cfg.ranges.values())]
+    fits = reduce(lambda a, b: a & b, known)
+    return table.withColumn("_v", pairs).agg(
+        F.count("score").alias("n_scored"), F.countDistinct("params").alias("n_distinct"),
+        F.count_if(fits).alias("n_in_range"), F.count_if("best").alias("n_best"),
+    )
+
+
+@query
+def gbt_early_stopping(spark, folder):
+    """A fit that ends by the error on the end of each symbol's training rows; rows and gain as for ``gbt_fit_score``."""
+    data = _training_set(spark, folder)
+    fitted = model.fit_stopped(data.train, {**SMALL_GBT, "maxIter": 20}, StoppingConfig(share=0.1), data.layout)
+    rows = model.score(fitted, data.frame)
+    table = rows.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.var_pop("target").alias("spread"), F.avg((F.col("target") - F.col("prediction")) ** 2).alias("_mse")
+    )
+    beats = F.when(F.col("split") == split.TRAIN, F.col("_mse") < F.col("spread"))
+    stopped = F.lit(1 <= fitted.getNumTrees <= 20)
+    return rounded(table.select("split", "n", "spread", beats.alias("beats_mean"), stopped.alias("within_limit")))
+
+
 @query
 def inference_run(spark, folder):
     """Train, store and register a model, then predict the newest bar of every symbol with it."""
@@ -781,6 +889,15 @@ def _priced(done: inference.InferenceRun) -> DataFrame:
     return rounded(done.predictions.select("stock_symbol", "current_date", "current_price", (gap < 1e-6).alias("consistent")))
 
 
+@query
+def inference_sliced(spark, folder):
+    """Feature rows for inference from a sliced table, of which only slices with newest bars are read."""
+    path = work_path(spark, "slices")
+    rows = valid(spark, folder)
+    slices.write_slices(rows, path, rows_per_slice=max(1, rows.count() // 10))
+    return rounded(inference.inference_rows(inference.newest_panel(spark, path), PipelineConfig()).select(*KEY, *feat.feature_names()))
+
+
 @query
 def inference_named(spark, folder):
     """Two models and their stages in one registry: each name gets its own production model, whatever is newer."""

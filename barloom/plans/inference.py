@@ -18,7 +18,8 @@ from barloom.operators.scaling import assemble
 from barloom.operators.split import latest_n, latest_one
 from barloom.schema import KEYS, PREDICTIONS, Keys
 from barloom.sources.models import load_gbt, load_scaler
-from barloom.sources.tables import export_csv, read_table, write_append
+from barloom.sources.slices import read_newest
+from barloom.sources.tables import export_csv, read_run, read_table, write_run
 
 
 def inference_rows(
@@ -36,6 +37,12 @@ def inference_rows(
     return clean_features(built, cfg.features, require_target)
 
 
+def newest_panel(spark: SparkSession, table: str, cfg: PipelineConfig | None = None, keys: Keys = KEYS) -> DataFrame:
+    """The part of a sliced table that inference reads: slices without newest bars are not opened."""
+    cfg = cfg or PipelineConfig()
+    return read_newest(spark, table, cfg.sequence_length + lookback(cfg.features), keys)
+
+
 def inference_set(
     panel: DataFrame,
     scaler: StandardScalerModel,
@@ -64,7 +71,11 @@ def run_inference(
     require_target: bool = False,
     keys: Keys = KEYS,
 ) -> InferenceRun:
-    """Load the selected model of ``folder``, predict the newest bar of each entity, append and export."""
+    """Load the selected model of ``folder``, predict the newest bar of each entity, store and export.
+
+    A repeated run replaces its stored predictions. Pass ``newest_panel`` of a sliced table to read no more history
+    than the windows of the newest bars need.
+    """
     started = datetime.now()
     run_id = run_id or started.strftime("%Y%m%d_%H%M%S")
     runs = read_table(spark, f"{folder}/runs")
@@ -82,7 +93,7 @@ def run_inference(
     stored = fresh.withColumns(
         {f.name: F.col(f.name).cast(f.dataType) for f in PREDICTIONS if f.name in fresh.columns}
     )
-    if write_append(stored.withColumn("run_id", F.lit(run_id)), f"{folder}/predictions"):
-        stored = read_table(spark, f"{folder}/predictions").filter(F.col("run_id") == run_id).drop("run_id")
+    if write_run(stored.withColumn("run_id", F.lit(run_id)), f"{folder}/predictions", run_id):
+        stored = read_run(spark, f"{folder}/predictions", run_id).drop("run_id")
         export_csv(stored, f"{folder}/inference", run_id, single_file=False)
     return InferenceRun(with_direction(stored), prediction_summary(stored))

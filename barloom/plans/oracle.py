@@ -374,6 +374,11 @@ QUALIFY row_number() OVER (PARTITION BY stock_symbol ORDER BY Date DESC) <= 50""
         "latest_1": f"""{_panel(daily)} SELECT stock_symbol, Date, {_r(["Close", "Volume"])} FROM panel
 QUALIFY row_number() OVER (PARTITION BY stock_symbol ORDER BY Date DESC) = 1""",
         "scale_train_stats": f"{_split(daily)}, {_stats(NAMES)} {stats_rows}",
+        "scale_merged_stats": f"{_split(daily)}, {_stats(NAMES)} {stats_rows}",
+        "describe_merged": f"""{_valid(daily)}, long_ AS (UNPIVOT (SELECT Close, Volume, Scaled_sentiment FROM bars)
+  ON Close, Volume, Scaled_sentiment INTO NAME feature VALUE v)
+SELECT feature, count(*) AS count, {_x("avg(v)", "mean")}, {_x("stddev(v)", "stddev")}, {_x("min(v)", "min")}, {_x("max(v)", "max")}
+FROM long_ GROUP BY feature""",
         "scaled_features": f"""{_split(daily)}, {_stats(NAMES)} SELECT stock_symbol, Date, split, {_scaled(NAMES)}
 FROM parted, stats""",
         "scaled_vectors": f"""{_split(daily)}, {_stats(NAMES)} SELECT stock_symbol, Date, split, {_scaled(NAMES)}
@@ -381,6 +386,7 @@ FROM parted, stats""",
         "corr_long": f"{_clean(daily)}, {_corr(NAMES, all_pairs, 'clean')} {CORR_ROWS}",
         "corr_lower": f"{_clean(daily)}, {_corr(NAMES, low_pairs, 'clean')} {CORR_ROWS}",
         "corr_pairwise": f"{_features(daily)}, {_corr(few, few_pairs, 'feats')} {CORR_ROWS}",
+        "corr_pairwise_all": f"{_features(daily)}, {_corr(NAMES, [(i, j) for i in range(len(NAMES)) for j in range(i + 1, len(NAMES))], 'feats')} {CORR_ROWS}",
         "corr_prune": f"""{_clean(daily)}, {_corr(NAMES, all_pairs, "clean")},
 strong AS MATERIALIZED (SELECT j, list(i) AS partners FROM corr_ WHERE i <> j AND abs(r) > 0.95 GROUP BY j),
 walk AS (SELECT 0 AS step, [0] AS kept UNION ALL
@@ -457,9 +463,16 @@ FROM m UNPIVOT INCLUDE NULLS (value FOR metric IN (mae, mse, r2, sample_count))"
         "csv_roundtrip": f"{_panel(daily)} SELECT {BARS} FROM panel",
         "ingest_csv": f"""{_valid("panel_hourly")} SELECT upper(stock_symbol) AS stock_symbol, Date, News_flag,
   {_r(BAR_COLUMNS)} FROM bars""",
+        "ingest_incremental": f"""{_valid("panel_hourly")} SELECT upper(stock_symbol) AS stock_symbol, Date, News_flag,
+  {_r(BAR_COLUMNS)}, true AS one_parsed FROM bars""",
         "table_overwrite": f"{_valid(daily)} SELECT stock_symbol, Date, {_r(['Close', 'Volume'])} FROM bars",
         "table_append": f"SELECT * FROM ({_scored()}, {LATEST} SELECT {RECORD} FROM latest) UNION ALL "
         f"SELECT * FROM ({_scored('panel_hourly')}, {LATEST} SELECT {RECORD} FROM latest)",
+        "table_append_repeated": f"SELECT *, 'panel_daily' AS run_id FROM ({_scored()}, {LATEST} SELECT {RECORD} FROM latest) UNION ALL "
+        f"SELECT *, 'panel_hourly' FROM ({_scored('panel_hourly')}, {LATEST} SELECT {RECORD} FROM latest)",
+        "table_replace_itself": f"""{_valid("panel_hourly")} SELECT stock_symbol, Date, {_r(["Close", "Volume"])} FROM bars WHERE Volume > 1""",
+        "slices_newest": f"""{_valid(daily)} SELECT stock_symbol, Date, News_flag, {_r(BAR_COLUMNS)} FROM bars
+QUALIFY row_number() OVER (PARTITION BY stock_symbol ORDER BY Date DESC) <= 50""",
         "predictions_export": f"""{_scored()} SELECT 'prediction' AS part, stock_symbol AS name, Date AS date,
   {_x("target", "x")}, {_x("prediction", "y")} FROM scored
 UNION ALL SELECT 'entity', stock_symbol, NULL, {_x(MAE, "x")}, {_x(R2, "y")} FROM scored GROUP BY stock_symbol
@@ -472,9 +485,15 @@ UNION ALL SELECT 'feature', unnest({NAMES}), NULL, 1.0, NULL""",
         "gbt_reload": f"""{_split(daily)} SELECT 0.0::DOUBLE AS largest_gap, count(*) AS n, true AS same_scaler
 FROM parted WHERE split = 'test'""",
         **dict.fromkeys(("cv_grid", "cv_time_folds", "random_search"), _grid()),
+        "sequential_search": """SELECT n AS n_scored, n AS n_distinct, n AS n_in_range, 1::BIGINT AS n_best
+FROM (SELECT 10::BIGINT AS n) WHERE (SELECT count(*) FROM events) > 0""",
+        "gbt_early_stopping": f"""{_split(daily)} SELECT split, count(*) AS n, {_x("var_pop(target)", "spread")},
+  CASE WHEN split = 'train' THEN true END AS beats_mean, true AS within_limit FROM parted GROUP BY split""",
         "inference_run": f"""{_valid(daily)}, {_inference(daily, "fresh", False)}
 SELECT stock_symbol, Date AS current_date, {_x("Close", "current_price")}, true AS consistent FROM fresh
 QUALIFY row_number() OVER (PARTITION BY stock_symbol ORDER BY Date DESC) = 1""",
+        "inference_sliced": f"""{_valid(daily)}, {_inference(daily, "fresh", False)}
+SELECT stock_symbol, Date, {_r(NAMES)} FROM fresh""",
         "inference_named": """SELECT * FROM (VALUES ('a', 'a1', 1.0::DOUBLE, 'Production'), ('b', 'b1', 1.0::DOUBLE, 'None'))
   t(name, run_id, version, stage) WHERE (SELECT count(*) FROM events) > 0""",
         "run_log_model": f"""{_split("panel_hourly")},

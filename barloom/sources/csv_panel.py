@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,10 +40,15 @@ def read_text_panel(
         source.schema(text)
         .option("enforceSchema", False)
         .csv(path)
-        .select("*", F.upper(F.regexp_extract(file, entity_pattern, 1)).alias(keys.entity))
+        .select("*", entity_of(file, entity_pattern).alias(keys.entity))
     )
 
 
+def entity_of(path: Column, pattern: str) -> Column:
+    """The upper-cased first group of the pattern in a file's path."""
+    return F.upper(F.regexp_extract(path, pattern, 1))
+
+
 def read_panel(
     spark: SparkSession,
     path: str | list[str],

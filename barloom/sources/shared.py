@@ -56,10 +56,16 @@ def write_shared(df: DataFrame, name: str, codec: str = "zstd") -> tuple[DataFra
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def stage_table(df: DataFrame) -> DataFrame:
+    """Compute once and continue from a Parquet table of the shared folder."""
+    return write_shared(df, "staged")[0]
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Compute once and continue from a reliable checkpoint, which survives lost executors.
 
-    Select the needed columns first: the checkpoint holds everything in the frame.
+    A checkpoint keeps partitions and the order in them, which a table does not: use it where these matter, and
+    ``stage_table`` elsewhere. Select the needed columns first: the checkpoint holds everything in the frame.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,18 +13,78 @@ from barloom.schema import KEYS, Keys
 from barloom.sources.staging import discard, write_shared
 
 
+RUN_PART = "run_part"
+
+
 def write_panel(df: DataFrame, path: str, keys: Keys = KEYS, partitions: int | None = None, format: str = "parquet") -> None:
     """Overwrite a panel table, whatever schema it had, with files ranged and sorted by (entity, time).
 
     Ranges split a long entity over several files, and file statistics let readers skip
-    by entity or time without one folder per entity.
+    by entity or time without one folder per entity. A Parquet table is replaced whole or not at all.
     """
-    writer = distribute(df, keys, partitions).write.mode("overwrite").format(format)
+    laid = distribute(df, keys, partitions)
+    if format == "parquet":
+        return replace_table(laid, path)
+    writer = laid.write.mode("overwrite").format(format)
     if format == "delta":
         writer = writer.option("overwriteSchema", True)
     writer.save(path)
 
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """Write beside the table at ``path``, then swap by renaming.
+
+    The old table can be read until the new one is whole, also by ``df`` itself; a write that fails leaves it as it
+    was. Between the two renames nothing lies at ``path``; where the second one fails the old table is put back.
+    """
+    spark = df.sparkSession
+    target, fresh, old = (_path(spark, f"{path.rstrip('/')}{tail}") for tail in ("", f".{uuid.uuid4().hex}.new", f".{uuid.uuid4().hex}.old"))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        df.write.mode("error").parquet(fresh.toString())
+        stood = files.exists(target)
+        if stood and not files.rename(target, old):
+            raise OSError(f"cannot move {path} away")
+        if not files.rename(fresh, target):
+            if stood:
+                files.rename(old, target)
+            raise OSError(f"cannot move the new table to {path}")
+    except BaseException:
+        files.delete(fresh, True)
+        raise
+    if stood:
+        files.delete(old, True)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def write_run(df: DataFrame, path: str, run_id: str, format: str = "parquet") -> bool:
+    """Store one run's rows in a table of runs; the same run written again replaces its rows and no others.
+
+    Each run has a partition of its own, named by ``RUN_PART``. An empty frame writes nothing and leaves what the run
+    has stored. Says whether rows were written.
+    """
+    part = f"run_{run_id}"
+    ready, staged = write_shared(df.withColumn(RUN_PART, F.lit(part)), "run")
+    filled = not ready.isEmpty()
+    if filled:
+        writer = ready.write.mode("overwrite").format(format).partitionBy(RUN_PART)
+        if format == "delta":
+            writer = writer.option("replaceWhere", f"{RUN_PART} = '{part}'")
+        else:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.save(path)
+    discard(df.sparkSession, staged)
+    return filled
+
+
+def read_run(spark: SparkSession, path: str, run_id: str, format: str = "parquet") -> DataFrame:
+    """The rows that ``write_run`` stored for one run; other runs' files are not opened."""
+    return read_table(spark, path, format).where(F.col(RUN_PART) == f"run_{run_id}").drop(RUN_PART)
+
+
 def write_append(df: DataFrame, path: str, format: str = "parquet") -> bool:
     """Append rows to a table; an empty frame writes nothing. Says whether rows were written.
 

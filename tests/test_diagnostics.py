@@ -162,6 +162,37 @@ def test_pairwise_correlation_uses_complete_pairs(spark):
     assert corr.pairwise_correlation(df, ["a", "b"]).first().r == pytest.approx(want)
 
 
+def test_pairwise_correlation_of_many_columns_with_holes(spark):
+    rng = random.Random(8)
+    names = [f"c{i}" for i in range(9)]
+    rows = []
+    for _ in range(400):
+        base = rng.gauss(0, 1)
+        row = [base * (i - 4) + rng.gauss(0, 1) + 1e6 * i for i in range(6)] + [7.0, rng.gauss(0, 1e-9) + 1e3, None]
+        rows.append([None if rng.random() < 0.3 else x for x in row])
+    df = spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"{n} double" for n in names))
+    want = pd.DataFrame(rows, columns=names, dtype=float).corr()
+    got = {(r.feature_a, r.feature_b): r.r for r in corr.pairwise_correlation(df, names).collect()}
+    assert len(got) == 36
+    for (a, b), r in got.items():
+        if {"c6", "c8"} & {a, b}:
+            assert r is None
+        else:
+            assert r == pytest.approx(want.loc[a, b], abs=1e-3 if "c7" in (a, b) else 1e-9)
+    none = corr.pairwise_correlation(df.limit(0), names).collect()
+    assert len(none) == 36 and all(r.r is None for r in none)
+
+
+def test_an_over_long_null_entity_gets_exact_quartiles(spark):
+    rng = random.Random(3)
+    rows = [(None, rng.gauss(0, 1)) for _ in range(900)] + [("", rng.gauss(5, 1)) for _ in range(700)] + [("=", rng.random()) for _ in range(20)]
+    df = spark.createDataFrame(rows, "stock_symbol string, residual double")
+    cut = Layout(len(rows), 100, ((None, (1,)), ("", (1,))))
+    assert set(exact_quantiles_of(df, "residual", [0.5], "stock_symbol", [None, ""])) == {None, ""}
+    plain = sorted(map(str, diag.box_per_entity(df).collect()))
+    assert sorted(map(str, diag.box_per_entity(df, layout=cut).collect())) == plain
+
+
 def test_samples_do_not_depend_on_layout(spark):
     df = spark.range(2000).withColumn("k", F.col("id").cast("string"))
     for make in (lambda d: sampling.sample_n(d, ["k"], 50), lambda d: sampling.sample_fraction(d, ["k"], 0.3)):

@@ -107,6 +107,37 @@ def test_equal_times_follow_the_tie_columns(spark):
     assert split.latest_one(df, keys).first().n == 3.0
 
 
+@pytest.mark.parametrize("null_time", [False, True])
+@pytest.mark.parametrize("kind", ["double", "string"])
+def test_bursts_of_one_time_are_cut_at_the_tie_columns(spark, kind, null_time):
+    """Most bars share one time: pieces stay small, and windows over (time, ties) are those of the uncut history."""
+    rng = random.Random(9)
+    at = [START + dt.timedelta(seconds=i) for i in range(40)]
+    rows = [("HOT", at[i % 40], float(i), 1, rng.uniform(1, 2)) for i in range(80)]
+    rows += [("HOT", None if null_time else at[20], float(i), 2, rng.uniform(1, 2)) for i in range(1000, 1500)]
+    rows += [(None, at[5], float(i), 3, rng.uniform(1, 2)) for i in range(300)] + [("B", at[0], 1.0, 4, 1.5)]
+    df = spark.createDataFrame(rows, "stock_symbol string, Date timestamp_ntz, n double, m int, Close double").repartition(5)
+    df = df.withColumn("n", F.col("n").cast(kind))
+    keys = Keys(ties=("n", "m"))
+    layout = measure(df, keys, rows_per_task=50)
+    assert {(e, t is None) for e, t, _ in layout.bursts} == {("HOT", null_time), (None, False)}
+    seen = []
+    over_history(df, lambda d, w: seen.append(d) or d, 3, 1, layout, keys)
+    sizes = [r.n for r in seen[1].filter(~F.col(COPY)).groupBy("stock_symbol", PIECE).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 2 * 50 and sum(sizes) == 880
+    near = lambda d, w: d.withColumns({"before": F.lag("Close", 3).over(w), "after": F.lead("Close").over(w)})
+    assert rows_of(over_history(df, near, 3, 1, layout, keys)) == rows_of(over_history(df, near, 3, 1, None, keys))
+    assert rows_of(split.time_split(df, 0.85, layout, keys)) == rows_of(split.time_split(df, 0.85, None, keys))
+
+
+def test_bars_equal_in_all_keys_stay_together(spark):
+    rows = [("HOT", START, 1.0, 2.0)] * 200
+    df = spark.createDataFrame(rows, "stock_symbol string, Date timestamp_ntz, n double, Close double")
+    keys = Keys(ties=("n",))
+    layout = measure(df, keys, rows_per_task=50)
+    assert rows_of(split.time_split(df, 0.5, layout, keys)) == rows_of(split.time_split(df, 0.5, None, keys))
+
+
 def test_windows_see_only_a_bounded_number_of_rows(skewed):
     """No task may receive a whole long history: pieces plus their copies bound the group size."""
     layout = measure(skewed, rows_per_task=60)
