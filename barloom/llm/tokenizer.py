@@ -17,7 +17,7 @@ from pathlib import Path
 
 from tokenizers import Tokenizer
 
-REMEMBER = 500_000
+REMEMBER = 600_000
 MARKS = b".,;:!?"
 
 # The rules of a tokenizer whose ids can be put together from those of words.

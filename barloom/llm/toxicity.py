@@ -25,7 +25,7 @@ from barloom.sources.staging import discard, write_shared
 FRAME = b" compression window filler text 0123456789 "
 FOLDS = 2
 STEPS = (1, 2, 3, 4)
-REMEMBER = 150_000
+REMEMBER = 400_000
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
