@@ -94,7 +94,7 @@ def full_starts(first: np.ndarray, length: int) -> np.ndarray:
 
 
 def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-    power, inverse = _powers(seed, 1 << max(20, int(len(values)).bit_length()))
+    power, inverse = _powers(seed, len(values))
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * power[: len(values)], out=sums[1:])
     return (sums[ends] - sums[starts]) * inverse[starts]
@@ -105,12 +105,18 @@ def _table(seed: int) -> np.ndarray:
     return np.random.default_rng(seed + 77).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
 
-@cache
+_KNOWN_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    base = int(np.random.default_rng(seed + 5).integers(2**61, 2**63)) | 3
-    pair = []
-    for factor in (base, pow(base, -1, 2**64)):
-        steps = np.full(size + 1, factor, np.uint64)
-        steps[0] = 1
-        pair.append(np.multiply.accumulate(steps))
-    return pair[0], pair[1]
+    """Powers 0 to ``size`` and their inverses; a worker keeps one pair a seed, as long as the longest yet asked for."""
+    found = _KNOWN_POWERS.get(seed)
+    if found is None or len(found[0]) <= size:
+        base = int(np.random.default_rng(seed + 5).integers(2**61, 2**63)) | 3
+        pair = []
+        for factor in (base, pow(base, -1, 2**64)):
+            steps = np.full((1 << max(16, size.bit_length())) + 1, factor, np.uint64)
+            steps[0] = 1
+            pair.append(np.multiply.accumulate(steps))
+        found = _KNOWN_POWERS[seed] = (pair[0], pair[1])
+    return found
