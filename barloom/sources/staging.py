@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from barloom.sources.shared import discard, shared_folder, stage, stage_table, work_path, write_shared
+from barloom.sources.shared import discard, keep_checkpoints, shared_folder, stage, stage_buckets, stage_table, work_path, write_shared
 
-__all__ = ["discard", "shared_folder", "stage", "stage_table", "work_path", "write_shared"]
+__all__ = ["discard", "keep_checkpoints", "shared_folder", "stage", "stage_buckets", "stage_table", "work_path", "write_shared"]
