@@ -101,3 +101,26 @@ def test_pairwise_correlation_over_batches_and_parts(spark):
         assert got["abcd"[i], "abcd"[j]] == pytest.approx(np.corrcoef(x.T)[0, 1], abs=1e-9)
     assert got["a", "d"] is None
     assert all(r.r is None for r in correlation.pairwise_correlation(df.limit(0), ["a", "b"]).collect())
+
+
+@pytest.mark.parametrize("method", ["spark_cv", "random", "sequential"])
+def test_fits_of_a_search_read_rows_computed_once(spark, dealt, monkeypatch, method):
+    seen = []
+    fit = model.fit_gbt
+    monkeypatch.setattr(model, "fit_gbt", lambda df, params: seen.append(plan(df)) or fit(df, params))
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    cfg = TuningConfig(method=method, ranges={"maxIter": [1, 2], "maxDepth": [1, 2]}, folds=2, n_trials=2)
+    found = model.tune(dealt.laid(), cfg, dealt.layout, dealt=True)
+    assert seen and all("InMemoryTableScan" in p for p in seen) and all(t.usable for t in found.trials)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+def test_kept_rows_give_the_fit_of_stored_rows(dealt):
+    with model.kept(dealt.laid().select("features", "target")) as rows:
+        trees = [model.fit_gbt(df, SMALL).toDebugString.split("\n", 1)[1] for df in (rows, dealt.laid())]
+    assert trees[0] == trees[1]
+
+
+def test_open_fits_follow_the_parts(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [model.open_fits(spark.range(0, 9, 1, n), 4) for n in (1, 2 * cores, 4 * cores, 5 * cores)] == [4, 2, 1, 1]
