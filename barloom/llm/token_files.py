@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.tokenizer import content, vocabulary_size, word_ids
+from barloom.llm.tokenizer import content, slices, vocabulary_size, word_ids
 
 BLOCK_IDS = 1 << 16
 ROW_GROUP_BYTES = 8 << 20
@@ -141,15 +141,15 @@ def digests(blocks: DataFrame) -> DataFrame:
 
 
 def _blocks(tokenizer: str, end_id: int, bits: int, block_ids: int, batches) -> Iterator[pa.RecordBatch]:
-    coder, end = word_ids(tokenizer), end_id.to_bytes(4, "little")
+    coder = word_ids(tokenizer)
     part, block, before = TaskContext.get().partitionId(), 0, 0
     doc_ids: list[int | None] = []
-    chunks: list[bytes] = []
+    chunks: list[np.ndarray] = []
     offsets = [0]
 
     def close() -> pa.RecordBatch:
         nonlocal block, before, doc_ids, chunks, offsets
-        ids = np.frombuffer(b"".join(chunks), "<u4")
+        ids = np.concatenate(chunks)
         named = [d for d in doc_ids if d is not None]
         ends = (named[0], named[-1]) if named else (None, None)
         row = (part, block, before, len(ids), bits, *ends, doc_ids, offsets, pack(ids, bits))
@@ -159,12 +159,15 @@ def _blocks(tokenizer: str, end_id: int, bits: int, block_ids: int, batches) ->
     types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
     names = [column.split()[0] for column in BLOCK_SCHEMA.split(", ")]
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            chunks.append(coder.encode(text.as_py()) + end)
-            doc_ids.append(doc_id)
-            offsets.append(offsets[-1] + len(chunks[-1]) // 4)
-            if offsets[-1] >= block_ids:
-                yield close()
+        for low, high in slices(batch.column(1)):
+            ids, starts = coder.encode_all(batch.column(1).slice(low, high - low))
+            ids, ends = np.insert(ids, starts[1:], end_id), (starts[1:] + np.arange(1, high - low + 1)).tolist()
+            for doc_id, start, stop in zip(batch.column(0).slice(low, high - low).to_pylist(), [0, *ends], ends):
+                chunks.append(ids[start:stop])
+                doc_ids.append(doc_id)
+                offsets.append(offsets[-1] + stop - start)
+                if offsets[-1] >= block_ids:
+                    yield close()
     if doc_ids:
         yield close()
 

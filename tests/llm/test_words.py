@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from barloom.llm import entries, words
-from barloom.llm.tokenizer import WordIds, content
+from barloom.llm.tokenizer import WordIds, content, slices
 
 TEXTS = [None, "", " \n\t", "a", "a b  c\x0bd\fe", "naïve x ünïcode", "one two one two one two", "　x y", "z" * 5000]
 
@@ -59,3 +59,27 @@ def test_word_ids_equal_whole_text_ids(remember):
     for text in [*texts, *[t for t in TEXTS if t]]:
         ids = np.frombuffer(coder.encode(text), "<u4").tolist()
         assert ids == whole.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("remember", [3, 1000])
+def test_batches_of_texts_have_the_ids_of_each(remember):
+    path = entries.tokenizer()
+    whole, coder = Tokenizer.from_file(path), WordIds(content(path), remember)
+    texts = ["\u00c9t\u00e9, DEMENT***", None, "", "the the\nthe \u00d7\u00f7 a\u00d7b \u00df'S", "T\u0308 J\u030c e\u0301", "abc<|endoftext|>def<|", "word&&& word"]
+    for most in (1, 20, 10_000):
+        got = []
+        for low, high in slices(pa.array(texts), most):
+            ids, starts = coder.encode_all(pa.array(texts).slice(low, high - low))
+            got += [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
+        assert got == [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_accented_and_marked_words_go_straight_to_the_merges(monkeypatch):
+    path = entries.tokenizer()
+    whole, coder, seen = Tokenizer.from_file(path), WordIds(content(path)), []
+    encode = coder._whole
+    monkeypatch.setattr(coder, "_whole", lambda text: seen.append(text) or encode(text))
+    words_ = ["\u00c0\u00d6\u00de\u00ff", "ci\u00f3n***", "plain", "\u00e9t\u00e9,", "a1"]
+    for word in words_:
+        assert np.frombuffer(coder.encode(word), "<u4").tolist() == whole.encode(word, add_special_tokens=False).ids
+    assert seen == ["***", ",", "a1"]
