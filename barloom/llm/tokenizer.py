@@ -27,7 +27,7 @@ REMEMBER = 600_000
 BATCH_BYTES = 8 << 20
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # not the apostrophe, which can begin a piece with the letters behind it
 ACCENTED = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"  # U+00C0 to U+00FF without the two signs: composed, with plain lower case
-WORD = re.compile(rb"((?:[a-z]|" + ACCENTED + rb")+)([" + re.escape(MARKS) + rb"]*)")
+LETTERS = re.compile(rb"(?:[a-z]|" + ACCENTED + rb")+")
 COMBINING = "[\u0300-\u033f]"
 PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PLAIN)}
@@ -95,14 +95,17 @@ class WordIds(dict):
         return ids[at], ends[parts.offsets.to_numpy()]
 
     def __missing__(self, part: bytes) -> bytes:
-        found = WORD.fullmatch(part)
-        if not found:
+        word = part.rstrip(MARKS)
+        if not (word.isalpha() or LETTERS.fullmatch(word)):
             ids = self._whole(part.decode())
-        elif found[2]:
-            ids = self[found[1]] + (self.get(found[2]) or self._marks(found[2]))
+        elif len(word) < len(part):
+            marks = part[len(word) :]
+            ids = self[word] + (self.get(marks) or self._marks(marks))
+        elif word.isascii():
+            ids = _little([token.id for token in self.model.tokenize(word.decode())])
         else:
-            letters = part if part.isascii() else part.decode().lower().encode()
-            ids = _little([token.id for token in self.model.tokenize(letters.decode("latin-1").translate(BYTE_LEVEL))])
+            letters = word.decode().lower().encode().decode("latin-1").translate(BYTE_LEVEL)
+            ids = _little([token.id for token in self.model.tokenize(letters)])
         return self._keep(part, ids)
 
     def _marks(self, marks: bytes) -> bytes:
